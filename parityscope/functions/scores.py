@@ -13,7 +13,8 @@ def _as_array(df: DataFrame, column: str) -> Column | None:
     """The column as an array, or None when it is a plain number."""
     kind = df.schema[column].dataType
     if isinstance(kind, VectorUDT):
-        return vector_to_array(F.col(column))
+        # The conversion fails on null, so a null vector must not reach it.
+        return F.when(F.col(column).isNotNull(), vector_to_array(F.col(column)))
     if isinstance(kind, T.ArrayType):
         return F.col(column)
     return None
@@ -28,7 +29,8 @@ def positive_score(df: DataFrame, column: str) -> Column:
     values = _as_array(df, column)
     if values is None:
         return F.col(column).cast("double")
-    return F.when(F.size(values) > 1, F.get(values, 1)).otherwise(F.get(values, 0)).cast("double")
+    position = F.when(F.size(values) > 1, 1).otherwise(0)
+    return F.get(values, position).cast("double")
 
 
 def probability_text(df: DataFrame, column: str) -> Column:
