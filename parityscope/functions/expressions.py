@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SMALL_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType)
-_WHOLE_NUMBER = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
+_WHOLE_NUMBER = r"^\s*([+-]?0*\d{1,10})(\.\d*)?\s*$"
 
 
 def _widened(df: DataFrame, columns: Sequence[str], factors: int) -> list[Column]:
@@ -64,12 +64,16 @@ def zero_if_null(df: DataFrame, column: str) -> Column:
 def integer_or_null(df: DataFrame, column: str) -> Column:
     """The column as an int, null where it holds no whole 32-bit number.
 
-    A decimal fraction is cut off, in text as well as in numbers.
+    A decimal fraction is cut off, in text as well as in numbers. Only values that
+    convert reach the cast: failed casts cost an exception each, which shows on
+    columns with much bad text.
     """
     source = F.col(column)
     if isinstance(df.schema[column].dataType, T.StringType):
-        source = F.regexp_extract(source, _WHOLE_NUMBER, 1)
-    return source.try_cast("int")
+        digits = F.nullif(F.regexp_extract(source, _WHOLE_NUMBER, 1), F.lit(""))
+        source = digits.cast("bigint")
+    fits = (source > F.lit(-(2**31) - 1)) & (source < F.lit(2**31))
+    return F.when(fits, source.cast("int"))
 
 
 def collapse(column: Column, keep: Sequence[str], other: str = "Other") -> Column:

@@ -131,10 +131,14 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame
 
     # The condition always holds; naming both counts keeps this plan equal to the one
     # above up to its shuffle, so that Spark computes the shuffle once for both.
-    quantiles = [i / buckets for i in range(1, buckets)]
+    quantiles = ",".join(str(i / buckets) for i in range(1, buckets))
     cuts = (
         by_score.filter(F.col("pos") + F.col("neg") > 0)
-        .agg(F.percentile_approx("score", quantiles, 4 * buckets))
+        .agg(
+            F.percentile_approx(
+                "score", F.split(F.lit(quantiles), ",").cast("array<double>"), 4 * buckets
+            )
+        )
         .scalar()
     )
 
@@ -146,6 +150,9 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame
         ranked = ranked.withColumn("bucket", F.col("bucket") + F.when(passed, step).otherwise(0))
         step //= 2
 
+    # The window sorts by bucket and score. Sorting by the score alone gives the same
+    # order and is much the faster sort, after which the window finds its rows in order.
+    ranked = ranked.drop("cuts").repartition("bucket").sortWithinPartitions("score")
     up_to_here = Window.partitionBy("bucket").orderBy("score").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -343,15 +343,15 @@ def bias_report(
     curve = []
     if has_score:
         per_bin = cells.groupBy(*_KEYS, _BIN).agg(*totals)
-        point = F.struct(
+        at_bin = F.struct(
             F.col(_BIN).alias("bin"),
             mean_score.alias("predicted"),
             mean_label.alias("actual"),
-            F.col("n").cast("double").alias("count"),
+            F.col("n").alias("count"),
         )
         per_group = per_bin.groupBy(*_KEYS).agg(
             *[F.sum(c).alias(c) for c in per_bin.columns if c not in (*_KEYS, _BIN)],
-            F.collect_list(F.when(F.col(_BIN).isNotNull(), point)).alias("curve"),
+            F.collect_list(F.when(F.col(_BIN).isNotNull(), at_bin)).alias("curve"),
         )
         per_group = per_group.withColumns({"mean_predicted": mean_score, "mean_actual": mean_label})
         curve = [F.first(c).alias(c) for c in ("curve", "mean_predicted", "mean_actual")]
@@ -385,46 +385,40 @@ def bias_report(
         *curve,
     )
 
-    def entry(section: str, metric: str, value: Column, bin_number: Column | None = None) -> Column:
-        return F.struct(
-            F.lit(section).alias("section"),
-            (F.lit(None).cast("int") if bin_number is None else bin_number).alias("bin"),
-            F.lit(metric).alias("metric"),
-            value.cast("double").alias("value"),
+    def entry(section: str, metric: str, value: str, bin_number: str = "NULL") -> str:
+        return (
+            f"struct('{section}' AS section, CAST({bin_number} AS int) AS bin, "
+            f"'{metric}' AS metric, CAST({value} AS double) AS value)"
         )
 
-    group_entries = F.array(
-        entry("demographic_parity", "prediction_rate", F.col("prediction_rate")),
-        entry("demographic_parity", "count", F.col("n")),
-        entry("equalized_odds", "true_positive_rate", F.col("tpr")),
-        entry("equalized_odds", "false_positive_rate", F.col("fpr")),
-        entry("equal_opportunity", "true_positive_rate", F.col("found_rate")),
-        entry("equal_opportunity", "positive_count", F.col("positives")),
+    def array(*entries: str) -> str:
+        return f"array({', '.join(entries)})"
+
+    group_entries = array(
+        entry("demographic_parity", "prediction_rate", "prediction_rate"),
+        entry("demographic_parity", "count", "n"),
+        entry("equalized_odds", "true_positive_rate", "tpr"),
+        entry("equalized_odds", "false_positive_rate", "fpr"),
+        entry("equal_opportunity", "true_positive_rate", "found_rate"),
+        entry("equal_opportunity", "positive_count", "positives"),
     )
     if has_score:
-        means = F.array(
-            entry("calibration", "mean_predicted", F.col("mean_predicted")),
-            entry("calibration", "mean_actual", F.col("mean_actual")),
-        )
-        points = F.flatten(
-            F.transform(
-                "curve",
-                lambda p: F.array(
-                    *[entry("calibration", m, p[m], p["bin"]) for m in ("predicted", "actual", "count")]
-                ),
-            )
+        means = array(
+            entry("calibration", "mean_predicted", "mean_predicted"),
+            entry("calibration", "mean_actual", "mean_actual"),
         )
-        group_entries = F.concat(group_entries, means, points)
-    gap_entries = F.filter(
-        F.array(
-            entry("demographic_parity", "disparity", F.col("demographic_parity_disparity")),
-            entry("equalized_odds", "tpr_disparity", F.col("tpr_disparity")),
-            entry("equalized_odds", "fpr_disparity", F.col("fpr_disparity")),
-            entry("equal_opportunity", "disparity", F.col("equal_opportunity_disparity")),
-        ),
-        lambda e: e["value"].isNotNull(),
+        point = array(*[entry("calibration", m, f"p.{m}", "p.bin") for m in ("predicted", "actual", "count")])
+        group_entries = f"concat({group_entries}, {means}, flatten(transform(curve, p -> {point})))"
+    gaps = array(
+        entry("demographic_parity", "disparity", "demographic_parity_disparity"),
+        entry("equalized_odds", "tpr_disparity", "tpr_disparity"),
+        entry("equalized_odds", "fpr_disparity", "fpr_disparity"),
+        entry("equal_opportunity", "disparity", "equal_opportunity_disparity"),
+    )
+    entries = F.expr(
+        f"CASE WHEN is_attribute = 0 THEN {group_entries} "
+        f"WHEN groups >= 2 THEN filter({gaps}, e -> e.value IS NOT NULL) END"
     )
-    entries = F.when(F.col("is_attribute") == 0, group_entries).when(F.col("groups") >= 2, gap_entries)
     return levels.select(
-        "attribute", "group", (F.col("is_attribute") == 1).alias("is_disparity"), F.inline(entries)
+        "attribute", "group", F.expr("is_attribute = 1").alias("is_disparity"), F.inline(entries)
     ).select("section", "attribute", "group", "is_disparity", "bin", "metric", "value")

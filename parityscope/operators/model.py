@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -46,6 +47,9 @@ def fit_classifier(
     or ``logreg`` (logistic regression). Further keyword arguments are settings of the
     MLlib estimator. With ``order_by``, a unique key, the rows are spread and sorted by
     that key first, so that bagging draws the same rows however the input was laid out.
+
+    Fitting passes over the rows several times, so the needed columns are kept, in
+    memory and beyond that on disk, until it is done.
     """
     if estimator not in _ESTIMATORS:
         raise ValueError(f"unknown estimator {estimator!r}; choose one of {sorted(_ESTIMATORS)}")
@@ -61,7 +65,11 @@ def fit_classifier(
         labelCol=label, featuresCol=SCALED if scale else ASSEMBLED, **settings
     )
     stages = feature_stages(numeric, categorical, scale).getStages()
-    return Pipeline(stages=[*stages, classifier]).fit(rows)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=[*stages, classifier]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, output: str = "score") -> DataFrame:

@@ -30,7 +30,7 @@ def duck(sf_medium):
 
 def _canonical(value):
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else repr(value + 0.0)
+        return "NaN" if math.isnan(value) else repr(value)
     return "NULL" if value is None else str(value)
 
 
