@@ -76,7 +76,7 @@ def class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return per_class.withColumn("f1", safe_ratio(2 * p * r, p + r))
 
 
-def classification_metrics(df: DataFrame, roles: AuditRoles, buckets: int = 1024) -> DataFrame:
+def classification_metrics(df: DataFrame, roles: AuditRoles, buckets: int | None = None) -> DataFrame:
     """One row: accuracy, class-weighted precision, recall and F1, the same three for
     the positive class alone, and ``auc`` when the roles name a score.
 
@@ -107,24 +107,33 @@ def classification_metrics(df: DataFrame, roles: AuditRoles, buckets: int = 1024
     return metrics.withColumn("auc", auc(df, roles.label, roles.score, buckets).scalar())
 
 
-def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame:
+def _default_buckets(df: DataFrame) -> int:
+    """Some 16 buckets per shuffle partition, so that partitions come out even; at most 8192."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 1 << min(13, max(6, (16 * partitions - 1).bit_length()))
+
+
+def auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
     """One row, ``auc``: exact area under the ROC curve, ties counting half.
 
-    Rows labelled other than 0 or 1, and rows without a score, are left out; the
-    area is null when either class is absent.
+    Rows labelled other than 0 or 1, and rows whose score is null or NaN, are left
+    out; the area is null when either class is absent.
 
     Rows are first combined per distinct score, so a score held by very many rows is
     one row afterwards. The distinct scores are cut into ``buckets`` ranges (a power of
-    two) holding about equally many of them; a running sum inside each range, and one
-    over the ranges, give the number of negatives ranked below every score. Nothing
-    passes through a single task but one row per range. The position of the cuts has
-    no influence on the result.
+    two, by default chosen from the number of shuffle partitions) holding about equally
+    many of them; a running sum inside each range, and one over the ranges, give the
+    number of negatives ranked below every score. Nothing passes through a single task
+    but one row per range and the quantile sketches that place the cuts. Where exactly
+    the cuts lie has no influence on the result.
     """
+    if buckets is None:
+        buckets = _default_buckets(df)
     if buckets < 2 or buckets & (buckets - 1):
         raise ValueError("buckets must be a power of two")
     scored = df.select(
         F.col(label).alias("label"), positive_score(df, score).alias("score")
-    ).filter(F.col("label").isin(0, 1) & F.col("score").isNotNull())
+    ).filter(F.col("label").isin(0, 1) & F.col("score").isNotNull() & ~F.isnan("score"))
     by_score = scored.groupBy("score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
@@ -136,7 +145,7 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame
         by_score.filter(F.col("pos") + F.col("neg") > 0)
         .agg(
             F.percentile_approx(
-                "score", F.split(F.lit(quantiles), ",").cast("array<double>"), 4 * buckets
+                "score", F.split(F.lit(quantiles), ",").cast("array<double>"), 2 * buckets
             )
         )
         .scalar()

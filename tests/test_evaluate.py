@@ -22,10 +22,10 @@ def test_auc_ties(spark):
     assert evaluate.auc(df, "y", "s").first().auc == 0.875
 
 
-@pytest.mark.parametrize("buckets", [2, 8, 1024])
+@pytest.mark.parametrize("buckets", [2, 8, None])
 @pytest.mark.parametrize("kind", ["spread", "ties", "hot"])
 def test_auc_against_brute_force(spark, buckets, kind):
-    draw = random.Random(buckets)
+    draw = random.Random(buckets or 0)
     rows = []
     for _ in range(600):
         y = draw.choice([0, 0, 1, None, 2])
@@ -42,6 +42,11 @@ def test_auc_against_brute_force(spark, buckets, kind):
         assert found == pytest.approx(expected, abs=1e-12)
 
 
+def test_auc_passes_over_nan_scores(spark):
+    rows = [(1, 0.9), (1, 0.4), (0, 0.4), (0, 0.1), (0, float("nan")), (1, float("nan"))]
+    assert evaluate.auc(spark.createDataFrame(rows, "y int, s double"), "y", "s").first().auc == 0.875
+
+
 def test_auc_without_a_class_is_null(spark):
     df = spark.createDataFrame([(1, 0.9), (1, 0.4)], "y int, s double")
     assert evaluate.auc(df, "y", "s").first().auc is None
