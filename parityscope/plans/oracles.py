@@ -243,7 +243,7 @@ def oracle_sql() -> dict[str, str]:
         "vector_to_text": """SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n_values,
             round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total FROM embeddings""",
         "sample_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100",
-        "columns_available": """
+        "column_report": """
             SELECT 'o_orderkey' AS "column", true AS required, true AS present, 'bigint' AS type,
                    count(o_orderkey) AS n_values FROM orders
             UNION ALL SELECT 'o_orderstatus', true, true, 'string', count(o_orderstatus) FROM orders

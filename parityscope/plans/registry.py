@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityscope import column_report
+from parityscope import roles
 from parityscope.functions import (
     all_flag,
     flag,
@@ -118,8 +118,8 @@ def sample_rows(spark: SparkSession, folder: str) -> DataFrame:
 # Roles, cleaning and scalar expressions
 
 
-def columns_available(spark: SparkSession, folder: str) -> DataFrame:
-    return column_report(
+def column_report(spark: SparkSession, folder: str) -> DataFrame:
+    return roles.column_report(
         table(spark, folder, "orders"),
         required=["o_orderkey", "o_orderstatus"],
         optional=["o_totalprice", "o_comment"],
@@ -510,7 +510,7 @@ def bias_report_combined(spark: SparkSession, folder: str) -> DataFrame:
 _QUERIES: tuple[Query, ...] = (
     csv_round_trip, csv_inferred_types, csv_duplicate_header, parquet_round_trip,
     predictions_csv_round_trip, vector_to_text, sample_rows,
-    columns_available, table_profile, select_available, rename_near_match, require_not_null,
+    column_report, table_profile, select_available, rename_near_match, require_not_null,
     fill_null_zero, try_int, collapse_categories, band_numeric, polynomial_features,
     threshold_flags, row_sum_interactions, class_filter,
     string_index, assemble_skip, assembly_report, standardize, feature_set,
