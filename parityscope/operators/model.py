@@ -31,6 +31,18 @@ FOREST_SETTINGS = {
 _ESTIMATORS = {"rf": RandomForestClassifier, "logreg": LogisticRegression}
 
 
+# Each forest task holds and shuffles statistics of many tree nodes, whatever the number
+# of its rows (up to maxMemoryInMB), so training is not spread over more tasks than the
+# rows are worth.
+_ROWS_PER_TRAINING_TASK = 3_000
+
+
+def _training_partitions(rows: DataFrame) -> int:
+    """Partitions for training, from the number of rows and at most the shuffle partitions."""
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, -(-rows.count() // _ROWS_PER_TRAINING_TASK)))
+
+
 def fit_classifier(
     train: DataFrame,
     label: str,
@@ -45,8 +57,9 @@ def fit_classifier(
 
     ``estimator`` is ``rf`` (random forest, with ``FOREST_SETTINGS`` unless overridden)
     or ``logreg`` (logistic regression). Further keyword arguments are settings of the
-    MLlib estimator. With ``order_by``, a unique key, the rows are spread and sorted by
-    that key first, so that bagging draws the same rows however the input was laid out.
+    MLlib estimator. With ``order_by``, a unique key, the rows are counted, spread and
+    sorted by that key first, so that bagging draws the same rows however the input was
+    laid out.
 
     Fitting passes over the rows several times, so the needed columns are kept, in
     memory and beyond that on disk, until it is done.
@@ -57,8 +70,7 @@ def fit_classifier(
     needed = list(dict.fromkeys([*keys, label, *numeric, *categorical]))
     rows = require_columns(train, needed).select(*needed).filter(F.col(label).isNotNull())
     if order_by is not None:
-        parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartition(parts, order_by).sortWithinPartitions(order_by)
+        rows = rows.repartition(_training_partitions(rows), order_by).sortWithinPartitions(order_by)
     if estimator == "rf":
         settings = {**FOREST_SETTINGS, **settings}
     classifier = _ESTIMATORS[estimator](
