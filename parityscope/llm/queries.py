@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityscope.llm import packing, token_files
+from parityscope.llm import packing, quality_rules, token_files
 from parityscope.llm.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,13 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality_rules.judge(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 49_408, 2)
     return pieces.select(
@@ -33,7 +40,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_token_files": op5_token_files, "op9_packing": op9_packing}
+    return {"op5_token_files": op5_token_files, "op6_quality_rules": op6_quality_rules, "op9_packing": op9_packing}
 
 
 def oracle_sql() -> dict[str, str]:
