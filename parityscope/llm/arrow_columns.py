@@ -25,7 +25,7 @@ def with_text_columns(
     source = docs.select(*kept, *[c for c in ("text",) if c not in kept])
     schema = T.StructType([source.schema[c] for c in kept])
     for name, kind in fields.items():
-        schema = schema.add(name, kind)
+        schema = schema.add(name, T.StructType.fromDDL(f"x {kind}")[0].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()

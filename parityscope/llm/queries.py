@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityscope.llm import packing, quality_rules, token_files
+from parityscope.llm import packing, quality_model, quality_rules, token_files, toxicity
 from parityscope.llm.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = shared_path(spark, "token-files")
     token_files.write_token_files(_table(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"), 0)
@@ -32,6 +36,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 49_408, 2)
     return pieces.select(
@@ -40,7 +48,14 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_token_files": op5_token_files, "op6_quality_rules": op6_quality_rules, "op9_packing": op9_packing}
+    found = (
+        op4_toxicity,
+        op5_token_files,
+        op6_quality_rules,
+        op8_quality_model,
+        op9_packing,
+    )
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
