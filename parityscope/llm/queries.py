@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityscope.llm import packing, quality_model, quality_rules, token_files, toxicity
+from parityscope.llm import ngram_join, packing, quality_model, quality_rules, token_files, toxicity
 from parityscope.llm.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.linked(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op4_toxicity,
@@ -54,6 +58,7 @@ def queries() -> dict[str, Query]:
         op6_quality_rules,
         op8_quality_model,
         op9_packing,
+        op10_ngram_join,
     )
     return {query.__name__: query for query in found}
 
