@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityscope.llm import ngram_join, packing, quality_model, quality_rules, token_files, toxicity
+from parityscope.llm import chat_format, line_dedup, ngram_join, packing, quality_model, quality_rules, token_files, toxicity
 from parityscope.llm.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one (-1) whose texts hold the template's own control strings."""
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    hard = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], turns.schema)
+    return chat_format.digests(chat_format.format_conversations(turns.unionAll(hard)))
+
+
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.drop_recurring_lines(_table(spark, folder, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -53,6 +65,8 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
+        op2_chat_format,
+        op3_line_dedup,
         op4_toxicity,
         op5_token_files,
         op6_quality_rules,
@@ -64,4 +78,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat_format": chat_format.ORACLE, "op3_line_dedup": line_dedup.ORACLE}
