@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityscope.llm import chat_format, line_dedup, ngram_join, packing, quality_model, quality_rules, token_files, toxicity
+from parityscope.llm import ann, chat_format, line_dedup, ngram_join, packing, quality_model, quality_rules, token_files, toxicity
 from parityscope.llm.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(_table(spark, folder, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one (-1) whose texts hold the template's own control strings."""
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -65,6 +69,7 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
+        op1_ann,
         op2_chat_format,
         op3_line_dedup,
         op4_toxicity,
