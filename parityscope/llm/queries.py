@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityscope.llm import ann, chat_format, line_dedup, ngram_join, packing, quality_model, quality_rules, token_files, toxicity
+from parityscope.llm import ann, chat_format, line_dedup, ngram_join, packing, piece_codec, quality_model, quality_rules, token_files, toxicity
 from parityscope.llm.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,19 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded, and its ids decoded again."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = piece_codec.decode(piece_codec.encode(_table(spark, folder, "documents"), path), path)
+    return decoded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.length("text").cast("long").alias("decoded_chars"),
+        F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"),
+    )
+
+
 def op8_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -75,6 +88,7 @@ def queries() -> dict[str, Query]:
         op4_toxicity,
         op5_token_files,
         op6_quality_rules,
+        op7_piece_codec,
         op8_quality_model,
         op9_packing,
         op10_ngram_join,

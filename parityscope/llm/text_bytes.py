@@ -70,6 +70,13 @@ class Texts:
         whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
         return cls(whole[at[0] : at[-1]], at - at[0])
 
+    @staticmethod
+    def of_bytes(column: pa.LargeBinaryArray) -> bytes:
+        """All values of a column without nulls, end to end."""
+        _, offsets, data = column.buffers()
+        at = np.frombuffer(offsets, np.int64)[[column.offset, column.offset + len(column)]] if len(column) else (0, 0)
+        return data[at[0] : at[1]].to_pybytes() if at[1] > at[0] else b""
+
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
