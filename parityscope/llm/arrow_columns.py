@@ -6,10 +6,28 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parityscope.llm.text_bytes import Texts, slices
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or backticks, for use in expressions."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def aside(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """Columns that an operator does not use, renamed so that they clash with nothing, and
+    a function that gives a table its first columns back, and further ones behind them."""
+    others = {c: f"aside_{i}" for i, c in enumerate(docs.columns) if c not in used}
+    moved = docs.select(*[F.col(quoted(c)).alias(others.get(c, c)) for c in docs.columns])
+
+    def restore(result: DataFrame, *added: str) -> DataFrame:
+        return result.select(*[F.col(quoted(others.get(c, c))).alias(c) for c in docs.columns], *[a for a in added if a not in docs.columns])
+
+    return moved, restore
+
+
 TextFunction = Callable[[Texts], list[pa.Array]]
 
 
@@ -22,7 +40,7 @@ def with_text_columns(
     default. A column of the table with the name of a field is replaced by it.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in fields]
-    source = docs.select(*kept, *[c for c in ("text",) if c not in kept])
+    source = docs.select(*map(quoted, kept), *[c for c in ("text",) if c not in kept])
     schema = T.StructType([source.schema[c] for c in kept])
     for name, kind in fields.items():
         schema = schema.add(name, T.StructType.fromDDL(f"x {kind}")[0].dataType)
@@ -31,7 +49,7 @@ def with_text_columns(
         function = make()
         for batch in batches:
             for piece in slices(batch, "text"):
-                columns = [piece.column(c) for c in kept] + function(Texts.of(piece.column("text")))
+                columns = [piece.column(i) for i in range(len(kept))] + function(Texts.of(piece.column("text")))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return source.mapInArrow(run, schema)

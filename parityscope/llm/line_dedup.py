@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parityscope.llm.arrow_columns import aside
 from parityscope.llm.shared import written
 
 DEPTH = 3
@@ -86,7 +87,9 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
 
 
 def drop_recurring_lines(docs: DataFrame) -> DataFrame:
-    """The documents without their recurring lines, with ``n_dropped_lines`` added."""
+    """The documents without their recurring lines, with ``n_dropped_lines`` added unless
+    they have such a column."""
+    docs, restore = aside(docs, ("doc_id", "text"))
     lost = written(dropped_lines(docs).withColumnRenamed("key", "lost_key"), "lost-lines")
     found = docs.withColumn("own_key", _key()).join(lost, F.col("own_key") == F.col("lost_key"), "left")
     found = found.withColumn("own_lines", F.split("text", "\n"))
@@ -99,9 +102,8 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
 
     left = F.flatten(F.transform(F.sequence(F.lit(0), F.size("places")), between))
     text = F.when(F.col("places").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return found.withColumns(
-        {"text": text, "n_dropped_lines": F.coalesce(F.size("places"), F.lit(0)).cast("long")}
-    ).drop("own_key", "lost_key", "places", "own_lines")
+    dropped = F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long")
+    return restore(found.withColumns({"text": text, "n_dropped_lines": dropped}), "n_dropped_lines")
 
 
 ORACLE = r"""

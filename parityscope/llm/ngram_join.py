@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parityscope.llm.arrow_columns import TextFunction, with_text_columns
+from parityscope.llm.arrow_columns import TextFunction, aside, with_text_columns
 from parityscope.llm.components import connected
 from parityscope.llm.shared import written
 from parityscope.llm.text_bytes import Texts, mix, slices
@@ -248,9 +248,14 @@ def _open_pairs(index: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """The documents whose id is that of their component, with all their columns: one of
-    each group stays, and so do documents without words or id."""
-    kept = linked(docs).select("doc_id", "component_id").filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left").filter(
-        "kept_id is not null or doc_id is null"
-    ).drop("kept_id")
+    """One document of each group, that with the smallest id, with all its columns.
+
+    Of several rows of one id the one with the smallest text stays. Documents without
+    words link with nothing and stay, as do rows without an id.
+    """
+    docs, restore = aside(docs, ("doc_id", "text"))
+    kept = linked(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"))
+    nth = F.row_number().over(Window.partitionBy("kept_id").orderBy("text"))
+    named = rows.withColumn("kept_nth", nth).filter("kept_nth = 1").select(*docs.columns)
+    return restore(named.unionAll(docs.filter("doc_id is null")))
