@@ -10,10 +10,13 @@ estimated cost of its candidates: the occurrences of its prefix's runs, plus ver
 those documents that share ``l`` of them. A longer prefix costs a few more occurrences
 and lets fewer documents through. A pair has to meet the larger ``l`` of both.
 
-Sets that are equal are one node. Candidates are verified in two rounds. The first pairs
-every document with the smallest node of each of its runs, which joins a large group of
-near copies by about as many pairs as it has members. The second takes all pairs that
-share runs and are not yet in one component, so no link between components is lost.
+Sets that are equal are one node. Nodes that share runs of their prefixes are verified in
+two ways. First, every node goes to the group of the smallest and to that of the largest
+node that it shares a run with; groups are cut to blocks of bounded size, in which whole
+sets are compared, and only links leave a block. A large group of near copies is
+settled there, without a row for each of its pairs. Then the pairs that share runs, but met
+in no block and are in different components, are listed and verified one by one, so no
+link between components is lost.
 
 How common a run is comes from counts of all documents, in cells of a fixed number; the
 order only has to be the same for all documents, so cells that hold several runs cost
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parityscope.llm.arrow_columns import TextFunction, aside, with_text_columns
@@ -47,6 +50,11 @@ CELL_BITS = 20
 _BLOCK = 4096
 #: Cost of verifying a candidate, in occurrences looked up, for each run of the set.
 _VERIFY = 0.1
+#: A run in so many more documents than a cell usually holds is aggregated before it is
+#: shuffled, any other is gathered at once.
+_COMMON = 1_000
+#: Nodes and runs of half a block, on average.
+_BLOCK_NODES, _BLOCK_RUNS = 512, 250_000
 #: Bits of the filter that spares most documents without candidates a second look.
 _FILTER_BITS = 23
 
@@ -107,8 +115,9 @@ def _least_overlap(n: int) -> int:
     return -(-4 * n // 5)
 
 
-def _prefix(runs: np.ndarray, counts: np.ndarray, usual: float) -> tuple[np.ndarray, int]:
-    """The runs of the longest prefix, rare ones first, and the chosen number to share."""
+def _prefix(runs: np.ndarray, counts: np.ndarray, usual: float) -> tuple[np.ndarray, int, int]:
+    """The runs of the longest prefix, rare ones first; the chosen number to share; and
+    how many of the runs are not common."""
     n = len(runs)
     common = counts[_cells(runs)]
     shortest = n - _least_overlap(n) + 1
@@ -120,7 +129,7 @@ def _prefix(runs: np.ndarray, counts: np.ndarray, usual: float) -> tuple[np.ndar
         cost = looked_up * (1 + _VERIFY * n / wanted)
         if best is None or cost < best:
             best, match = cost, wanted
-    return runs[order], match
+    return runs[order], match, int(np.searchsorted(common[order], usual + _COMMON, side="right"))
 
 
 def _signer(counts: np.ndarray):
@@ -129,12 +138,13 @@ def _signer(counts: np.ndarray):
 
     def make() -> TextFunction:
         def sign(texts: Texts) -> list[pa.Array]:
-            sizes, digests, matches, prefixes = [], [], [], []
+            sizes, digests, matches, rare, prefixes = [], [], [], [], []
             for runs in shingle_sets(texts):
-                prefix, match = _prefix(runs, counts, usual) if len(runs) else (runs, 1)
+                prefix, match, n_rare = _prefix(runs, counts, usual) if len(runs) else (runs, 1, 0)
                 sizes.append(len(runs))
                 digests.append(hashlib.md5(runs.tobytes(), usedforsecurity=False).digest())
                 matches.append(match)
+                rare.append(n_rare)
                 prefixes.append(prefix.view(np.int64))
             ends = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
@@ -142,6 +152,7 @@ def _signer(counts: np.ndarray):
                 pa.array(sizes, pa.int32()),
                 pa.array(digests, pa.binary()),
                 pa.array(matches, pa.int32()),
+                pa.array(rare, pa.int32()),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
             ]
 
@@ -150,10 +161,6 @@ def _signer(counts: np.ndarray):
     return make
 
 
-def _similar_sizes() -> Column:
-    return (5 * F.col("a.n") >= 4 * F.col("b.n")) & (5 * F.col("b.n") >= 4 * F.col("a.n"))
-
-
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Whole sets of the named documents: texts are not moved, a filter of fixed size
     finds nearly all that are not named, and the join with the pairs drops the others."""
@@ -179,10 +186,86 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return source.mapInArrow(select, "node long, runs array<long>")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _similar(sets: list[np.ndarray]) -> np.ndarray:
+    """Which of the sets are similar to which."""
+    n, sizes = len(sets), np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    order = np.argsort(np.concatenate(sets), kind="stable")
+    runs, owner = np.concatenate(sets)[order], owner[order]
+    first = np.flatnonzero(np.concatenate(([True], runs[1:] != runs[:-1])))
+    count = np.diff(np.append(first, len(runs)))
+    shared = np.zeros((n, n), np.float32)
+    wide = first[count > 16]  # by products of 0/1 matrices, a few thousand runs at a time
+    for a in range(0, len(wide), 2048):
+        some, width = wide[a : a + 2048], count[count > 16][a : a + 2048]
+        has = np.zeros((n, len(some)), np.float32)
+        at = np.repeat(some - np.concatenate(([0], np.cumsum(width)[:-1])), width) + np.arange(width.sum())
+        has[owner[at], np.repeat(np.arange(len(some)), width)] = 1
+        shared += has @ has.T
+    narrow = np.repeat((count > 1) & (count <= 16), count)
+    for step in range(1, 16):
+        pair = np.flatnonzero(narrow[:-step] & (runs[:-step] == runs[step:])) if len(runs) > step else []
+        if not len(pair):
+            break
+        found = np.bincount(owner[pair] * n + owner[pair + step], minlength=n * n).reshape(n, n)
+        shared += found + found.T
+    return 180 * shared.astype(np.int64) >= 80 * (sizes[:, None] + sizes)
+
+
+def _joined(similar: np.ndarray) -> np.ndarray:
+    """For each member of a block, the first member of its component."""
+    label = np.arange(len(similar))
+    similar = similar | np.eye(len(similar), dtype=bool)
+    while True:
+        least = np.where(similar, label, len(label)).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each block; the rows of a block follow each other."""
+
+    def compared(rows: list[tuple]) -> pa.RecordBatch:
+        nodes, sets = np.array([r[0] for r in rows]), [r[1] for r in rows]
+        first = _joined(_similar(sets)) if len(rows) > 1 else np.zeros(1, np.int64)
+        linked = nodes != nodes[first]
+        return pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[first][linked])], ["u", "v"])
+
+    block, rows = None, []
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("group", "low_part", "high_part")), strict=True))
+        nodes, lists = batch.column("node").to_pylist(), batch.column("runs")
+        ends, runs = lists.offsets.to_numpy(), lists.values.to_numpy()
+        for i, key in enumerate(keys):
+            if key != block:
+                if len(rows) > 1:
+                    yield compared(rows)
+                block, rows = key, []
+            rows.append((nodes[i], runs[ends[i] : ends[i + 1]].copy()))
+    if len(rows) > 1:
+        yield compared(rows)
+
+
+def _linked_in_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members (``group``, ``node``, ``n``) of one group."""
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("total")).filter("nodes > 1")
+    parts = F.greatest(F.ceil(F.col("nodes") / _BLOCK_NODES), F.ceil(F.col("total") / _BLOCK_RUNS))
+    sizes = sizes.select("group", F.when((F.col("nodes") <= 2 * _BLOCK_NODES) & (F.col("total") <= 2 * _BLOCK_RUNS), 1).otherwise(parts).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("node"), "parts").cast("int")
+    rows = members.join(sizes, "group").withColumn("part", part)
+    # Each part meets each other one; a group of one part is a block of its own.
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: (q != F.col("part")) | (F.col("parts") == 1))
+    rows = rows.withColumn("other", F.explode(others)).select(
+        "group", "node", F.least("part", "other").alias("low_part"), F.greatest("part", "other").alias("high_part")
+    )
+    block = ["group", "low_part", "high_part"]
+    return rows.join(sets, "node").repartition(*block).sortWithinPartitions(*block).mapInArrow(_block_links, "u long, v long")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those pairs (``u``, ``v``) whose whole sets are similar."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = written(_sets_of(docs, nodes), "sets")
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("runs").alias("x")), "u").join(
         sets.select(F.col("node").alias("v"), F.col("runs").alias("y")), "v"
     )
@@ -190,9 +273,23 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.filter(180 * shared >= 80 * (F.size("x") + F.size("y"))).select("u", "v").distinct()
 
 
+def _shared_runs(nodes: DataFrame) -> DataFrame:
+    """``run``, ``node``, ``place``: the prefixes' runs that several nodes have, with the
+    smallest and the largest node (``low``, ``high``) of each."""
+    index = nodes.select("node", "rare", F.posexplode("prefix").alias("place", "run"))
+
+    def several(rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy("run").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high")
+        return rows.join(ends, "run")
+
+    # Nearly all rare runs have one node, so aggregating them first would shuffle them twice.
+    rare = index.filter("place < rare").drop("rare").repartition("run")
+    return several(rare).unionByName(several(index.filter("place >= rare").drop("rare")))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """For each document: the size and digest of its set, its prefix and the runs to share."""
-    fields = {"n_shingles": "int", "digest": "binary", "match": "int", "prefix": "array<long>"}
+    fields = {"n_shingles": "int", "digest": "binary", "match": "int", "rare": "int", "prefix": "array<long>"}
     return written(with_text_columns(docs, fields, _signer(run_counts(docs)), ["doc_id"]), "signatures")
 
 
@@ -201,18 +298,22 @@ def linked(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = signatures(docs)
     some = signed.filter("n_shingles > 0 and doc_id is not null")
-    nodes = some.groupBy("digest").agg(F.min_by(F.struct("prefix", "match", F.col("n_shingles").alias("n")), "doc_id").alias("s"), F.min("doc_id").alias("node"))
-    index = nodes.select("node", "s.n", "s.match", F.posexplode("s.prefix").alias("place", "run"))
-    by_run = index.groupBy("run").agg(F.count(F.lit(1)).alias("nodes"), F.min(F.struct("node", "n")).alias("pivot"))
-    index = written(index.join(by_run.filter("nodes > 1").drop("nodes"), "run"), "index")
-
-    stars = index.alias("a").select("a.node", "a.n", F.col("pivot.node").alias("other"), F.col("pivot.n").alias("m"))
-    stars = stars.filter("node != other and 5 * n >= 4 * m and 5 * m >= 4 * n")
-    pairs = written(stars.select(F.col("node").alias("u"), F.col("other").alias("v")).distinct(), "pairs")
-    first = written(_verified(docs, pairs), "links")
+    kept = F.struct("prefix", "match", "rare", F.col("n_shingles").alias("n"))
+    nodes = some.groupBy("digest").agg(F.min_by(kept, "doc_id").alias("s"), F.min("doc_id").alias("node")).select("node", "s.*")
+    shared = written(_shared_runs(nodes), "shared-runs")
+
+    by_node = shared.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("known"))
+    # Rows of one id that have several sets are one node, for which only its runs count.
+    facts = some.groupBy(F.col("doc_id").alias("node")).agg(
+        F.max("n_shingles").alias("n"), F.min("match").alias("match"), F.max(F.size("prefix")).alias("length"),
+        (F.min("digest") == F.max("digest")).alias("single"),
+    )
+    members = written(by_node.join(facts, "node").withColumn("able", F.col("n") - F.col("length") + F.col("known")), "members")
+    sets = written(_sets_of(docs, members.select("node")), "sets")
+    links = [_linked_in_blocks(members.select(F.col(c).alias("group"), "node", "n"), sets) for c in ("low", "high")]
+    first = written(links[0].unionAll(links[1]), "links")
     joined = written(connected(first), "components")
-
-    second = written(_verified(docs, written(_open_pairs(index, joined).join(pairs, ["u", "v"], "left_anti"), "pairs")), "links")
+    second = written(_verified(written(_open_pairs(shared, members, joined), "pairs"), sets), "links")
     joined = connected(first.unionAll(second))
 
     # A document may have several rows, and a digest several documents.
@@ -225,26 +326,38 @@ def linked(docs: DataFrame) -> DataFrame:
     )
 
 
-def _open_pairs(index: DataFrame, joined: DataFrame) -> DataFrame:
-    """Pairs of different components that share as many runs of their prefixes as the
-    larger of both numbers asks, and that their sizes and places allow to be similar."""
-    rows = index.drop("pivot").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("run").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+def _open_pairs(shared: DataFrame, members: DataFrame, joined: DataFrame) -> DataFrame:
+    """Pairs that met in no block and are of different components, that share as many runs
+    of their prefixes as the larger of both numbers asks, and that their sizes, the places
+    of the runs and the runs that no other node has allow to be similar."""
+    facts = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    facts = facts.select("node", F.col("low").alias("first"), F.col("high").alias("last"), "n", "match", "able", "single", "component")
+    rows = shared.select("run", "node", "place").join(facts, "node")
+    ends = rows.groupBy("run").agg(
+        F.min("first").alias("usual"),
+        *[(F.min(c) != F.max(c)).alias(f"mixed_{c}") for c in ("first", "last", "component")],
+    )
+    ends = ends.filter("mixed_first and mixed_last and mixed_component").select("run", "usual")
     shortest = F.col("n") - F.ceil(F.col("n") * 4 / 5).cast("int") + 1
-    rows = rows.join(mixed.select("run"), "run").withColumn("level", F.greatest(F.lit(1), F.col("place") - shortest + 2))
-    rows = written(rows, "open")
-    wanted = F.greatest("a.match", "b.match")
-    overlap = F.least("a.place", "b.place") + 1 + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place")) - 1
+    rows = rows.join(ends, "run").withColumn("level", F.greatest(F.lit(1), F.col("place") - shortest + 2))
+    rows = written(rows, "open-runs")
+    # Two nodes of a run's usual group have met, so one of each pair is of another.
+    own = (F.col("b.first") == F.col("b.usual")) | (F.col("a.node") > F.col("b.node"))
+    single = F.col("a.single") & F.col("b.single")
+    wanted = F.when(single, F.greatest("a.match", "b.match")).otherwise(1)
+    needed = 80 * (F.col("a.n") + F.col("b.n"))
+    overlap = F.least("a.place", "b.place") + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
     return (
-        rows.alias("a")
-        .join(rows.alias("b"), (F.col("a.run") == F.col("b.run")) & (F.col("a.node") > F.col("b.node")))
-        .filter((F.col("a.component") != F.col("b.component")) & _similar_sizes())
-        .filter((F.greatest("a.level", "b.level") <= wanted) & (180 * overlap >= 80 * (F.col("a.n") + F.col("b.n"))))
-        .groupBy(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
+        rows.filter(F.col("first") != F.col("usual")).alias("a")
+        .join(rows.alias("b"), (F.col("a.run") == F.col("b.run")) & own)
+        .filter((F.col("a.first") != F.col("b.first")) & (F.col("a.last") != F.col("b.last")))
+        .filter(F.col("a.component") != F.col("b.component"))
+        .filter(~single | (F.greatest("a.level", "b.level") <= wanted) & (180 * overlap >= needed) & (180 * F.least("a.able", "b.able") >= needed))
+        .groupBy(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v"))
         .agg(F.count(F.lit(1)).alias("shared"), F.max(wanted).alias("wanted"))
         .filter("shared >= wanted")
         .select("u", "v")
-    )
+    )
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
