@@ -66,7 +66,8 @@ def _entries(rows: DataFrame, k: int) -> DataFrame:
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy().reshape(len(column), -1)
+    flat = column.flatten().to_numpy()
+    return flat.reshape(len(column), len(flat) // max(len(column), 1))
 
 
 class _Space:
