@@ -18,6 +18,7 @@ classes, every score is the share of ones among the labels (0.5 without any).
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +31,7 @@ from parityscope.llm.arrow_columns import TextFunction, with_text_columns
 from parityscope.llm.labelled import fitting_rows, held_out
 from parityscope.llm.text_bytes import Texts, mix
 
-#: Words that name a group, by kind; a word is swapped for the next of its kind.
+#: Words that name a group, by kind; a word is swapped for another of its kind.
 IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("girl", "boy"), ("she", "he"),
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
@@ -42,8 +43,8 @@ IDENTITY_TERMS = (
     ("femmes", "hommes"), ("musulmans", "chrétiens", "juifs"),
     ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"),
 )
-_SWAP = {word: kind[(i + 1) % len(kind)] for kind in IDENTITY_TERMS for i, word in enumerate(kind)}
-_NAMED = re.compile(r"\b(" + "|".join(sorted(_SWAP, key=len, reverse=True)) + r")\b", re.IGNORECASE)
+_KIND = {word: (kind, i) for kind in IDENTITY_TERMS for i, word in enumerate(kind)}
+_NAMED = re.compile(r"\b(" + "|".join(sorted(_KIND, key=len, reverse=True)) + r")\b", re.IGNORECASE)
 
 BITS = 18
 SELECTED = 3_000
@@ -57,11 +58,13 @@ _TO_LETTERS = np.arange(256, dtype=np.uint8)
 _TO_LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 32
 
 
-def swap_terms(text: str) -> str:
-    """The text with every group name swapped for another of its kind."""
+def swap_terms(text: str, step: int = 1) -> str:
+    """The text with every group name swapped for the one ``step`` places on of its kind,
+    never for itself. Steps that differ from text to text compare all names of a kind."""
 
     def other(match: re.Match) -> str:
-        word = _SWAP[match[0].lower()]
+        kind, i = _KIND[match[0].lower()]
+        word = kind[(i + 1 + (step - 1) % (len(kind) - 1)) % len(kind)]
         return word.capitalize() if match[0][0].isupper() else word
 
     return _NAMED.sub(other, text)
@@ -91,7 +94,7 @@ def _feature_lists(texts: Texts) -> pa.Array:
 def _pairs() -> TextFunction:
     def features(texts: Texts) -> list[pa.Array]:
         whole = [texts.data[a:b].tobytes().decode() for a, b in zip(texts.offsets, texts.offsets[1:], strict=False)]
-        swapped = [swap_terms(t) for t in whole]
+        swapped = [swap_terms(t, zlib.crc32(t.encode())) for t in whole]
         named = [s if s != t else "" for s, t in zip(swapped, whole, strict=True)]
         other = _feature_lists(Texts.of(pa.array(named, pa.large_string())))
         return [_feature_lists(texts), other, pa.array([bool(t) for t in named])]
