@@ -6,10 +6,14 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from parityscope.operators.model import FOREST_SETTINGS
+from parityscope.operators.model import FOREST_SETTINGS, TRAINING_PARTITIONS
 from parityscope.plans import recidivism
 
 
+#: Tables of at most so many rows are also printed, whole.
+SHOWN = 40
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="parityscope", description=__doc__)
     parser.add_argument("--input", required=True, help="CSV file or folder with a header")
@@ -19,12 +23,16 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--attributes", nargs="+", default=list(recidivism.ATTRIBUTES))
     parser.add_argument("--trees", type=int, default=FOREST_SETTINGS["numTrees"])
     parser.add_argument("--depth", type=int, default=FOREST_SETTINGS["maxDepth"])
+    parser.add_argument("--training-partitions", type=int, default=TRAINING_PARTITIONS)
+    parser.add_argument("--pre-aggregate", action="store_true", help="for few attributes of few values")
+    parser.add_argument("--include-lowest", action="store_true", help="a score of 0 is in the first bin")
+    parser.add_argument("--null-group", choices=["exclude", "include"], default="exclude")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("parityscope").getOrCreate()
-    settings = {}
+    settings = {"training_partitions": options.training_partitions}
     if options.estimator == "rf":
-        settings = {"numTrees": options.trees, "maxDepth": options.depth}
+        settings |= {"numTrees": options.trees, "maxDepth": options.depth}
     audit = recidivism.run(
         spark,
         options.input,
@@ -32,22 +40,16 @@ def main(arguments: list[str] | None = None) -> None:
         attributes=tuple(options.attributes),
         train_fraction=options.train_fraction,
         estimator=options.estimator,
+        pre_aggregate=options.pre_aggregate,
+        include_lowest=options.include_lowest,
+        null_group=options.null_group,
         **settings,
     )
-    tables = {
-        "Statistics": audit.statistics(),
-        "Distributions": audit.distributions().orderBy("attribute", "value"),
-        "Metrics": audit.metrics(),
-        "Confusion matrix": audit.confusion_matrix().orderBy("label"),
-        "Group metrics": audit.group_metrics().orderBy("attribute", "group"),
-        "Disparity of the two largest groups": audit.pair_disparity().orderBy("attribute", "metric"),
-        "Bias report": audit.bias_report().orderBy("section", "attribute", "group", "bin", "metric"),
-    }
-    if options.estimator == "rf":
-        tables["Most important features"] = audit.importances()
-    for title, table in tables.items():
-        print(title)
-        table.show(100, truncate=False)
+    for name, table in audit.write_tables(options.output).items():
+        rows = table.count()
+        print(f"{name}: {rows} rows in {options.output}/{name}")
+        if rows <= SHOWN:
+            table.orderBy(*table.columns).show(SHOWN, truncate=False)
 
 
 if __name__ == "__main__":

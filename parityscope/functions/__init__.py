@@ -13,7 +13,7 @@ from parityscope.functions.expressions import (
     zero_if_null,
 )
 from parityscope.functions.ratios import safe_ratio
-from parityscope.functions.scores import bin_edges, positive_score, probability_text, score_bin
+from parityscope.functions.scores import bin_edges, positive_score, probability_text, score_bin, usable_score
 
 __all__ = [
     "all_flag",
@@ -30,5 +30,6 @@ __all__ = [
     "row_sum",
     "safe_ratio",
     "score_bin",
+    "usable_score",
     "zero_if_null",
 ]

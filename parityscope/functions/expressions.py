@@ -18,11 +18,11 @@ def _widened(df: DataFrame, columns: Sequence[str], factors: int) -> list[Column
     """Columns in a type in which multiplying ``factors`` of them cannot overflow.
 
     Two integers of at most 32 bits fit in a bigint; anything longer or wider
-    goes to double.
+    goes to double. Text that holds no number is null.
     """
     small = all(isinstance(df.schema[c].dataType, _SMALL_INTEGERS) for c in columns)
     target = "bigint" if small and factors <= 2 else "double"
-    return [F.col(c).cast(target) for c in columns]
+    return [F.col(c).try_cast(target) for c in columns]
 
 
 def power(df: DataFrame, column: str, exponent: int) -> Column:
@@ -69,6 +69,8 @@ def integer_or_null(df: DataFrame, column: str) -> Column:
     columns with much bad text.
     """
     source = F.col(column)
+    if isinstance(df.schema[column].dataType, T.BooleanType):
+        return source.cast("int")
     if isinstance(df.schema[column].dataType, T.StringType):
         digits = F.nullif(F.regexp_extract(source, _WHOLE_NUMBER, 1), F.lit(""))
         source = digits.cast("bigint")

@@ -33,6 +33,12 @@ def positive_score(df: DataFrame, column: str) -> Column:
     return F.get(values, position).cast("double")
 
 
+def usable_score(df: DataFrame, column: str) -> Column:
+    """``positive_score``, null where it is NaN: no operator counts, sums or ranks a NaN."""
+    score = positive_score(df, column)
+    return F.when(~F.isnan(score), score)
+
+
 def probability_text(df: DataFrame, column: str) -> Column:
     """Vector or array as text, ``[0.25, 0.75]``, for sinks that hold no nested values.
 

@@ -4,21 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from parityscope.functions.ratios import safe_ratio
-from parityscope.functions.scores import positive_score
+from parityscope.functions.scores import usable_score
 from parityscope.roles import AuditRoles
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType)
+
+
+def _class_of(df: DataFrame, column: str) -> Column:
+    """The class that a value names, as an int.
+
+    Null for null, NaN, and any value that is not a whole number: 0.9 is not class 0.
+    """
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, _WHOLE):
+        return value.cast("int")
+    number = value.try_cast("double")
+    return F.when((F.abs(number) < 2.0**31) & (number == F.floor(number)), number.cast("int"))
+
+
 def _observed_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """``label, prediction, n`` over rows that have both, as ints."""
-    known = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-    return known.groupBy(
-        F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    """``label, prediction, n`` over all rows, null standing for no class."""
+    classes = df.select(_class_of(df, label).alias("label"), _class_of(df, prediction).alias("prediction"))
+    return classes.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 def confusion_counts(
@@ -53,9 +67,8 @@ def confusion_matrix(
     )
 
 
-def class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Per class: ``class, tp, actual, predicted, precision, recall, f1``; empty ratios are 0."""
-    counts = _observed_counts(df, label, prediction)
+def _per_class(counts: DataFrame) -> DataFrame:
+    """Per class, from ``label, prediction, n``; rows without either are passed over."""
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     as_actual = F.struct(
         F.col("label").alias("class"), F.col("n").alias("actual"),
@@ -65,8 +78,9 @@ def class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
         F.col("prediction").alias("class"), F.lit(0).cast("bigint").alias("actual"),
         F.col("n").alias("predicted"), F.lit(0).cast("bigint").alias("tp"),
     )
+    both = F.when(F.col("label").isNotNull() & F.col("prediction").isNotNull(), F.array(as_actual, as_predicted))
     per_class = (
-        counts.select(F.inline(F.array(as_actual, as_predicted)))
+        counts.select(F.inline(both))
         .groupBy("class")
         .agg(*[F.sum(c).alias(c) for c in ("tp", "actual", "predicted")])
         .withColumn("precision", safe_ratio(F.col("tp"), F.col("predicted")))
@@ -76,14 +90,34 @@ def class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return per_class.withColumn("f1", safe_ratio(2 * p * r, p + r))
 
 
-def classification_metrics(df: DataFrame, roles: AuditRoles, buckets: int | None = None) -> DataFrame:
+def class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Per class: ``class, tp, actual, predicted, precision, recall, f1``; empty ratios are 0.
+
+    Classes are whole numbers. Rows whose label or prediction is null, NaN or no whole
+    number are left out.
+    """
+    return _per_class(_observed_counts(df, label, prediction))
+
+
+def classification_metrics(df: DataFrame, roles: AuditRoles) -> DataFrame:
     """One row: accuracy, class-weighted precision, recall and F1, the same three for
     the positive class alone, and ``auc`` when the roles name a score.
 
     Classes are weighted by how often they are the true class. On no rows every ratio
-    is null.
+    is null. The table is read once: rows are counted per score, label and prediction,
+    and both the classes and the ranking are computed from these counts.
     """
-    per_class = class_metrics(df, roles.label, roles.prediction)
+    if roles.score is None:
+        counts = _observed_counts(df, roles.label, roles.prediction)
+    else:
+        classes = {"label": _class_of(df, roles.label), "prediction": _class_of(df, roles.prediction)}
+        cells = (
+            df.select(usable_score(df, roles.score).alias("score"), *[c.alias(n) for n, c in classes.items()])
+            .groupBy("score", "label", "prediction")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        counts = cells.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+    per_class = _per_class(counts)
     total = F.sum("actual")
 
     def weighted(metric: str):
@@ -104,77 +138,55 @@ def classification_metrics(df: DataFrame, roles: AuditRoles, buckets: int | None
     )
     if roles.score is None:
         return metrics
-    return metrics.withColumn("auc", auc(df, roles.label, roles.score, buckets).scalar())
 
+    # Scores are judged inside the sums, not by a filter, which Spark would move below the
+    # counts: as it is, the shuffle of the cells is the same as above and is computed once.
+    def counted(label: int):
+        return F.sum(F.when(F.col("score").isNotNull() & (F.col("label") == label), F.col("n")).otherwise(0))
 
-def _default_buckets(df: DataFrame) -> int:
-    """Some 16 buckets per shuffle partition, so that partitions come out even; at most 8192."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return 1 << min(13, max(6, (16 * partitions - 1).bit_length()))
+    by_score = cells.groupBy("score").agg(counted(1).alias("pos"), counted(0).alias("neg"))
+    return metrics.withColumn("auc", _area(by_score.filter(F.col("pos") + F.col("neg") > 0)).scalar())
 
 
-def auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row, ``auc``: exact area under the ROC curve, ties counting half.
 
     Rows labelled other than 0 or 1, and rows whose score is null or NaN, are left
     out; the area is null when either class is absent.
 
     Rows are first combined per distinct score, so a score held by very many rows is
-    one row afterwards. The distinct scores are cut into ``buckets`` ranges (a power of
-    two, by default chosen from the number of shuffle partitions) holding about equally
-    many of them; a running sum inside each range, and one over the ranges, give the
-    number of negatives ranked below every score. Nothing passes through a single task
-    but one row per range and the quantile sketches that place the cuts. Where exactly
-    the cuts lie has no influence on the result.
+    one row afterwards.
     """
-    if buckets is None:
-        buckets = _default_buckets(df)
-    if buckets < 2 or buckets & (buckets - 1):
-        raise ValueError("buckets must be a power of two")
-    scored = df.select(
-        F.col(label).alias("label"), positive_score(df, score).alias("score")
-    ).filter(F.col("label").isin(0, 1) & F.col("score").isNotNull() & ~F.isnan("score"))
-    by_score = scored.groupBy("score").agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
-    )
-
-    # The condition always holds; naming both counts keeps this plan equal to the one
-    # above up to its shuffle, so that Spark computes the shuffle once for both.
-    quantiles = ",".join(str(i / buckets) for i in range(1, buckets))
-    cuts = (
-        by_score.filter(F.col("pos") + F.col("neg") > 0)
-        .agg(
-            F.percentile_approx(
-                "score", F.split(F.lit(quantiles), ",").cast("array<double>"), 2 * buckets
-            )
+    scored = df.select(F.col(label).alias("label"), usable_score(df, score).alias("score"))
+    scored = scored.filter(F.col("label").isin(0, 1) & F.col("score").isNotNull())
+    return _area(
+        scored.groupBy("score").agg(
+            F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
         )
-        .scalar()
     )
 
-    # Number of cuts below the score, by halving steps over the sorted cuts.
-    ranked = by_score.withColumns({"cuts": cuts, "bucket": F.lit(0)})
-    step = buckets // 2
-    while step:
-        passed = F.get("cuts", F.col("bucket") + (step - 1)) < F.col("score")
-        ranked = ranked.withColumn("bucket", F.col("bucket") + F.when(passed, step).otherwise(0))
-        step //= 2
-
-    # The window sorts by bucket and score. Sorting by the score alone gives the same
-    # order and is much the faster sort, after which the window finds its rows in order.
-    ranked = ranked.drop("cuts").repartition("bucket").sortWithinPartitions("score")
-    up_to_here = Window.partitionBy("bucket").orderBy("score").rowsBetween(
+
+def _area(by_score: DataFrame) -> DataFrame:
+    """``auc`` from the numbers of positives and negatives of each score.
+
+    Scores are dealt out by ranges, as many as there are shuffle partitions. A running
+    sum inside each range, and one over the ranges, give the number of negatives
+    ranked below every score; a single task only sees one row per range.
+    """
+    ranked = by_score.repartitionByRange("score").withColumn("range", F.spark_partition_id())
+    up_to_here = Window.partitionBy("range").orderBy("score").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     below = F.sum("neg").over(up_to_here) - F.col("neg")
-    per_bucket = (
+    per_range = (
         ranked.withColumn("area", F.col("pos") * (below + F.col("neg") / 2))
-        .groupBy("bucket")
+        .groupBy("range")
         .agg(F.sum("area").alias("area"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
 
-    up_to_bucket = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.sum("neg").over(up_to_bucket) - F.col("neg")
-    whole = per_bucket.withColumn("area", F.col("area") + F.col("pos") * before.cast("double"))
+    up_to_range = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum("neg").over(up_to_range) - F.col("neg")
+    whole = per_range.withColumn("area", F.col("area") + F.col("pos") * before.cast("double"))
     return whole.agg(
         F.try_divide(
             F.sum("area"), F.sum("pos").cast("double") * F.sum("neg").cast("double")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from parityscope.functions.ratios import safe_ratio
-from parityscope.functions.scores import positive_score, score_bin
+from parityscope.functions.scores import score_bin, usable_score
 from parityscope.roles import AuditRoles, require_columns
 
 _KEYS = ("attribute", "group")
@@ -269,7 +269,7 @@ def calibration_bins(
     Bins are right-closed; a score of 0 is in none unless ``include_lowest``. Empty
     bins have no row.
     """
-    values = {_SCORE: positive_score(df, _need_score(roles)), _Y: F.col(roles.label)}
+    values = {_SCORE: usable_score(df, _need_score(roles)), _Y: F.col(roles.label)}
     binned = _stacked(df, roles, values).withColumn("bin", score_bin(F.col(_SCORE), bins, include_lowest))
     return (
         binned.filter(F.col("bin").isNotNull())
@@ -287,8 +287,11 @@ def calibration_curves(
 
 
 def calibration_means(df: DataFrame, roles: AuditRoles) -> DataFrame:
-    """``attribute, group, mean_predicted, mean_actual`` over all rows, scores of 0 included."""
-    values = {_SCORE: positive_score(df, _need_score(roles)), _Y: F.col(roles.label)}
+    """``attribute, group, mean_predicted, mean_actual`` over all rows, scores of 0 included.
+
+    A NaN score is passed over like a null one.
+    """
+    values = {_SCORE: usable_score(df, _need_score(roles)), _Y: F.col(roles.label)}
     return _stacked(df, roles, values).groupBy(*_KEYS).agg(
         F.avg(_SCORE).alias("mean_predicted"), F.avg(_Y).alias("mean_actual")
     )
@@ -300,6 +303,7 @@ def bias_report(
     bins: int = 10,
     null_group: str = "exclude",
     pre_aggregate: bool = False,
+    include_lowest: bool = False,
 ) -> DataFrame:
     """Parity, odds, opportunity and, when the roles name a score, calibration, in long form.
 
@@ -310,7 +314,8 @@ def bias_report(
     The data is read once. Rows are counted per cell (attribute, group, label,
     prediction, bin), of which there are few, as labels and predictions are classes;
     cells are combined per bin, bins per group, and groups per attribute.
-    ``pre_aggregate`` is as in ``confusion_by_group``.
+    ``pre_aggregate`` is as in ``confusion_by_group``, ``include_lowest`` as in
+    ``calibration_bins``.
     """
     _check_null_group(null_group)
     require_columns(df, [c for c in roles.columns() if c != roles.id])
@@ -318,8 +323,8 @@ def bias_report(
     keys = {_Y: F.col(roles.label), _YHAT: F.col(roles.prediction)}
     sums = {}
     if has_score:
-        score = positive_score(df, roles.score)
-        keys[_BIN] = score_bin(score, bins)
+        score = usable_score(df, roles.score)
+        keys[_BIN] = score_bin(score, bins, include_lowest)
         sums = {_SCORE: score, "__scored": F.when(score.isNotNull(), 1).otherwise(0)}
     if pre_aggregate:
         rows = _combinations(df, roles, keys, sums)

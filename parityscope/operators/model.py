@@ -31,16 +31,11 @@ FOREST_SETTINGS = {
 _ESTIMATORS = {"rf": RandomForestClassifier, "logreg": LogisticRegression}
 
 
-# Each forest task holds and shuffles statistics of many tree nodes, whatever the number
-# of its rows (up to maxMemoryInMB), so training is not spread over more tasks than the
-# rows are worth.
-_ROWS_PER_TRAINING_TASK = 3_000
-
-
-def _training_partitions(rows: DataFrame) -> int:
-    """Partitions for training, from the number of rows and at most the shuffle partitions."""
-    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(most, -(-rows.count() // _ROWS_PER_TRAINING_TASK)))
+# Tasks that train on sorted rows, unless the caller says otherwise. Bagging draws rows per
+# partition, so this number is part of what makes a forest repeatable: it depends neither
+# on the rows nor on the session. Each forest task holds statistics of many tree nodes (up
+# to maxMemoryInMB); raise the number with the cluster.
+TRAINING_PARTITIONS = 8
 
 
 def fit_classifier(
@@ -51,18 +46,19 @@ def fit_classifier(
     estimator: str = "rf",
     scale: bool = True,
     order_by: str | None = None,
+    training_partitions: int = TRAINING_PARTITIONS,
     **settings,
 ) -> PipelineModel:
     """Fit feature stages and classifier together on the training rows.
 
     ``estimator`` is ``rf`` (random forest, with ``FOREST_SETTINGS`` unless overridden)
     or ``logreg`` (logistic regression). Further keyword arguments are settings of the
-    MLlib estimator. With ``order_by``, a unique key, the rows are counted, spread and
-    sorted by that key first, so that bagging draws the same rows however the input was
-    laid out.
+    MLlib estimator. With ``order_by``, a unique key, the rows are spread over
+    ``training_partitions`` and sorted by that key first, so that bagging draws the same
+    rows however the input was laid out; the same number gives the same forest.
 
     Fitting passes over the rows several times, so the needed columns are kept, in
-    memory and beyond that on disk, until it is done.
+    memory and beyond that on disk, until it is done; the source is read once.
     """
     if estimator not in _ESTIMATORS:
         raise ValueError(f"unknown estimator {estimator!r}; choose one of {sorted(_ESTIMATORS)}")
@@ -70,7 +66,7 @@ def fit_classifier(
     needed = list(dict.fromkeys([*keys, label, *numeric, *categorical]))
     rows = require_columns(train, needed).select(*needed).filter(F.col(label).isNotNull())
     if order_by is not None:
-        rows = rows.repartition(_training_partitions(rows), order_by).sortWithinPartitions(order_by)
+        rows = rows.repartition(training_partitions, order_by).sortWithinPartitions(order_by)
     if estimator == "rf":
         settings = {**FOREST_SETTINGS, **settings}
     classifier = _ESTIMATORS[estimator](

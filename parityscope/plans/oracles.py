@@ -1,7 +1,8 @@
 """The same results as the registered queries, as SQL over the same tables.
 
-Queries whose result is a trained model's output have none. Counts are cast to
-BIGINT because the SQL engine sums integers into a wider type.
+What a trained model gives follows from the tables where the label is a limit on one
+feature, or where a converged fit balances its scores. Counts are cast to BIGINT because
+the SQL engine sums integers into a wider type.
 """
 
 from __future__ import annotations
@@ -30,8 +31,23 @@ DOC_ATTRIBUTES = ("lang", "source")
 LINE_ATTRIBUTES = ("c_mktsegment", "o_orderpriority")
 
 
-def _bucket(key: str) -> str:
-    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 10000"
+def _is_train(key: str, fraction: str = "0.8") -> str:
+    position = f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
+    return f"{position} < CAST(round({fraction} * 4294967296) AS BIGINT)"
+
+
+# Test orders whose label is a limit on one feature: prediction and score equal the label.
+SEPARABLE = f"""audit_lines AS (
+  SELECT label, CAST(label AS DOUBLE) AS score, label AS prediction, c_mktsegment, o_orderpriority
+  FROM (SELECT CASE WHEN c_nationkey < 12 THEN 1 ELSE 0 END AS label, c_mktsegment, o_orderpriority
+        FROM orders JOIN customer ON o_custkey = c_custkey WHERE NOT {_is_train('o_orderkey')}))"""
+
+# Order lines with values that name no class, and scores that are none (null here).
+ODD = LINES.replace("audit_lines AS", "plain_lines AS") + """, audit_lines AS (
+  SELECT label, CASE WHEN place IN (9, 10) THEN NULL ELSE score END AS score,
+         CASE WHEN place IN (5, 6, 7) THEN NULL WHEN place = 8 THEN 2 ELSE prediction END AS prediction,
+         c_mktsegment, o_orderpriority
+  FROM (SELECT *, CAST(round(score * 49) AS INTEGER) AS place FROM plain_lines))"""
 
 
 def _ratio(numerator: str, denominator: str) -> str:
@@ -112,11 +128,11 @@ _BIN = "CASE WHEN score IS NULL OR score <= 0 THEN NULL " + " ".join(
 ) + " END"
 
 
-def _bins(attributes: Iterable[str]) -> str:
+def _bins(attributes: Iterable[str], include_lowest: bool = False) -> str:
     return f"""bins AS (
   SELECT attribute, "group", CAST(bin AS INTEGER) AS bin, round(avg(score), 6) AS predicted,
          round(avg(CAST(label AS DOUBLE)), 6) AS actual, count(*) AS "count"
-  FROM (SELECT *, {_BIN} AS bin FROM ({_stack('audit_lines', attributes, 'label, score')}))
+  FROM (SELECT *, {_BIN.replace('score <= 0', 'score < 0') if include_lowest else _BIN} AS bin FROM ({_stack('audit_lines', attributes, 'label, score')}))
   WHERE bin IS NOT NULL GROUP BY 1, 2, 3)"""
 
 
@@ -127,7 +143,7 @@ def _means(attributes: Iterable[str]) -> str:
   FROM ({_stack('audit_lines', attributes, 'label, score')}) GROUP BY 1, 2)"""
 
 
-def _report() -> str:
+def _report(view: str = LINES, include_lowest: bool = False, only: str = "") -> str:
     def rows(section: str, metric: str, value: str, table: str = "metrics", bin_number: str = "NULL") -> str:
         return (
             f"SELECT '{section}' AS section, attribute, \"group\", false AS is_disparity, "
@@ -159,8 +175,9 @@ def _report() -> str:
         gaps("equal_opportunity", "disparity", "tpr", "positives > 0"),
     ]
     return (
-        f"WITH {_LINES_ALL}, {_bins(LINE_ATTRIBUTES)}, {_means(LINE_ATTRIBUTES)} "
-        + " UNION ALL ".join(parts)
+        f"WITH {_metrics(view, 'audit_lines', LINE_ATTRIBUTES)}, "
+        f"{_bins(LINE_ATTRIBUTES, include_lowest)}, {_means(LINE_ATTRIBUTES)} "
+        + " UNION ALL ".join(p for p in parts if only in p)
     )
 
 
@@ -191,7 +208,7 @@ class_metrics AS (SELECT *, {_ratio('2 * precision * recall', 'precision + recal
 
 _STATS_ORDERS = f"""src AS (
   SELECT o_orderkey, o_totalprice, c_acctbal, CAST(c_nationkey AS DOUBLE) AS c_nationkey, c_mktsegment,
-         o_orderpriority, CASE WHEN {_bucket('o_orderkey')} < 8000 THEN 'train' ELSE 'test' END AS split
+         o_orderpriority, CASE WHEN {_is_train('o_orderkey')} THEN 'train' ELSE 'test' END AS split
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 
@@ -238,7 +255,7 @@ def oracle_sql() -> dict[str, str]:
         "parquet_round_trip": "SELECT * FROM orders",
         "predictions_csv_round_trip": f"""WITH {DOCS}
             SELECT a.doc_id, a.label, a.prediction, a.lang,
-                   CAST(least(d.n_chars, 20000) AS DOUBLE) / 20000 AS positive_probability
+                   CAST(d.n_chars AS DOUBLE) / (CAST(d.n_chars AS DOUBLE) + 1000) AS positive_probability
             FROM audit_docs a JOIN documents d ON a.doc_id = d.doc_id""",
         "vector_to_text": """SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n_values,
             round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total FROM embeddings""",
@@ -290,11 +307,22 @@ def oracle_sql() -> dict[str, str]:
             FROM customer, (SELECT avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS s FROM customer)""",
         "feature_set": _feature_set(),
         "stratified_split": f"""SELECT o_orderkey, {split_orders} AS label,
-            CASE WHEN {_bucket('o_orderkey')} < CASE WHEN o_orderstatus = 'F' THEN 9000 ELSE 8000 END
+            CASE WHEN {_is_train('o_orderkey', "CASE WHEN o_orderstatus = 'F' THEN 0.9 ELSE 0.8 END")}
                  THEN 'train' ELSE 'test' END AS split FROM orders""",
         "union_all": f"SELECT o_orderkey, {split_orders} AS label FROM orders",
         "model_save_load": f"""SELECT count(*) AS scored, CAST(0 AS BIGINT) AS different
-            FROM orders JOIN customer ON o_custkey = c_custkey WHERE {_bucket('o_orderkey')} >= 8000""",
+            FROM orders JOIN customer ON o_custkey = c_custkey WHERE NOT {_is_train('o_orderkey')}""",
+        "rf_train_score": f"""SELECT o_orderkey, CASE WHEN c_nationkey < 12 THEN 1 ELSE 0 END AS label,
+            CAST(CASE WHEN c_nationkey < 12 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+            CAST(CASE WHEN c_nationkey < 12 THEN 1 ELSE 0 END AS DOUBLE) AS score
+            FROM orders JOIN customer ON o_custkey = c_custkey WHERE NOT {_is_train('o_orderkey')}""",
+        "logreg_train_score": f"""WITH src AS (SELECT o_orderkey, {split_orders} AS label,
+              {_is_train('o_orderkey')} AS train FROM orders JOIN customer ON o_custkey = c_custkey)
+            SELECT o_orderkey, label, (SELECT round(avg(CAST(label AS DOUBLE)), 6) FROM src WHERE train) AS mean_training_score,
+                   true AS is_probability, true AS prediction_fits FROM src WHERE NOT train""",
+        "top_k_importance": """SELECT unnest(['c_nationkey', 'c_acctbal', 'c_mktsegment_indexed']) AS feature,
+            unnest([CAST(1 AS DOUBLE), 0, 0]) AS importance""",
+        "train_and_audit": _report(SEPARABLE),
         "auc": _AUC_LINES,
         "auc_many_scores": _auc(
             "scored AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, "
@@ -310,6 +338,12 @@ def oracle_sql() -> dict[str, str]:
                    round(max(f1) FILTER (WHERE class = 1), 9) AS positive_f1,
                    (SELECT auc FROM ({_AUC_LINES})) AS auc
             FROM class_metrics""",
+        "auc_nan_scores": _auc(f"{ODD}, scored AS (SELECT label, score FROM audit_lines)"),
+        "class_metrics_odd_values": f"""WITH {ODD}, whole AS (SELECT * FROM audit_lines WHERE prediction IS NOT NULL),
+            {_class_table('whole')}
+            SELECT class, tp, actual, predicted, precision, recall, round(f1, 9) AS f1 FROM class_metrics""",
+        "calibration_means_nan_scores": f"WITH {ODD}, {_means(LINE_ATTRIBUTES)} SELECT * FROM means",
+        "bias_report_nan_scores": _report(ODD, include_lowest=True, only="'calibration'"),
         "class_metrics": f"""WITH {DOCS}, {_class_table('audit_docs')}
             SELECT class, tp, actual, predicted, precision, recall, round(f1, 9) AS f1 FROM class_metrics""",
         "confusion_counts": f"""WITH {DOCS}, classes AS (SELECT unnest([0, 1, 2]) AS c)

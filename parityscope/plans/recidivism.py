@@ -46,8 +46,18 @@ DISPLAYED = ("age", "race_binary", "sex", "priors_count", "decile_score", "two_y
 
 ROLES = AuditRoles(LABEL, "prediction", ATTRIBUTES, score="score", id=ID)
 
+# Fields that are converted afterwards, as they may hold decimals, are read as text.
+_READ_AS_INTEGERS = (ID, "age", "priors_count", "juv_fel_count", "juv_misd_count", "juv_other_count")
+SCHEMA = T.StructType(
+    [T.StructField(c, T.IntegerType() if c in _READ_AS_INTEGERS else T.StringType()) for c in COLUMNS]
+)
+OPTIONAL = tuple(c for c in COLUMNS if c not in (ID, *CRITICAL))
+#: Part of the name of a column that may stand in for a missing one.
+NEAR_NAMES = {"priors_count": "priors"}
+
 _JUVENILE = ("juv_fel_count", "juv_misd_count", "juv_other_count")
 
+# Limits of the derived features.
 # Derived feature -> (columns it needs, how it is made). A feature is made only when
 # all the columns it needs are there.
 _DERIVED: dict[str, tuple[tuple[str, ...], Callable[[DataFrame], Column]]] = {
@@ -81,7 +91,7 @@ _DERIVED: dict[str, tuple[tuple[str, ...], Callable[[DataFrame], Column]]] = {
 
 def cleaned(raw: DataFrame) -> DataFrame:
     """Wanted columns, complete rows, filled and converted numbers, race and age groups."""
-    named = clean.rename_near_match(raw, {"priors_count": "priors"})
+    named = clean.rename_near_match(raw, NEAR_NAMES)
     require_columns(named, CRITICAL)
     kept = clean.require_not_null(clean.select_available(named, COLUMNS), CRITICAL)
     numbers = clean.try_int(clean.fill_null_zero(kept, ZERO_IF_NULL), INTEGERS)
@@ -100,10 +110,14 @@ def with_features(table: DataFrame) -> DataFrame:
 
 
 def prepared(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str | None = SCHEMA
 ) -> DataFrame:
-    """The cleaned table with its derived features, from the CSV file."""
-    return with_features(cleaned(read_csv(spark, path, schema)))
+    """The cleaned table with its derived features, from the CSV file.
+
+    With the declared schema the file is read once and types do not depend on the data:
+    a number that is none is null. ``schema=None`` infers them, in a pass of its own.
+    """
+    return with_features(cleaned(read_csv(spark, path, schema, optional=OPTIONAL, aliases=NEAR_NAMES)))
 
 
 @dataclass(frozen=True)
@@ -114,6 +128,30 @@ class Audit:
     table: DataFrame
     predictions: DataFrame
     roles: AuditRoles
+    split_counts: DataFrame
+    pre_aggregate: bool = False
+    include_lowest: bool = False
+    null_group: str = "exclude"
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Every result table by the name it is written under."""
+        made = {
+            "split_counts": self.split_counts,
+            "statistics": self.statistics(),
+            "distributions": self.distributions(),
+            "metrics": self.metrics(),
+            "confusion_matrix": self.confusion_matrix(),
+            "group_metrics": self.group_metrics(),
+            "pair_disparity": self.pair_disparity(),
+            "bias_report": self.bias_report(),
+        }
+        if hasattr(self.model.stages[-1], "featureImportances"):
+            made["importances"] = self.importances()
+        return made
+
+    def write_tables(self, output: str) -> dict[str, DataFrame]:
+        """Write every result table as Parquet under ``output`` and return what was written."""
+        return {name: write_parquet(table, f"{output}/{name}") for name, table in self.tables().items()}
 
     def statistics(self) -> DataFrame:
         return profile.summary(self.table, LABEL)
@@ -140,13 +178,16 @@ class Audit:
         return evaluate.confusion_matrix(self.predictions, LABEL, self.roles.prediction)
 
     def group_metrics(self) -> DataFrame:
-        return fairness.group_metrics(self.predictions, self.roles, pre_aggregate=True)
+        return fairness.group_metrics(self.predictions, self.roles, self.pre_aggregate)
 
     def pair_disparity(self, pair: tuple[str, str] | None = None) -> DataFrame:
-        return fairness.severity(fairness.pair_disparity(self.group_metrics(), pair))
+        return fairness.severity(fairness.pair_disparity(self.group_metrics(), pair, self.null_group))
 
     def bias_report(self) -> DataFrame:
-        return fairness.bias_report(self.predictions, self.roles, pre_aggregate=True)
+        return fairness.bias_report(
+            self.predictions, self.roles, null_group=self.null_group,
+            pre_aggregate=self.pre_aggregate, include_lowest=self.include_lowest,
+        )
 
     def importances(self, k: int = 10) -> DataFrame:
         return model.feature_importance(self.model, self.table.sparkSession, k)
@@ -156,25 +197,30 @@ def run(
     spark: SparkSession,
     path: str,
     output: str,
-    schema: T.StructType | str | None = None,
+    schema: T.StructType | str | None = SCHEMA,
     attributes: tuple[str, ...] = ATTRIBUTES,
     train_fraction: float = 0.8,
     estimator: str = "rf",
+    pre_aggregate: bool = False,
+    include_lowest: bool = False,
+    null_group: str = "exclude",
     **settings,
 ) -> Audit:
     """Prepare, split, train, score and write; the returned audit reads what was written.
 
     Under ``output``: ``processed`` (Parquet), ``model``, ``scored`` (Parquet) and
-    ``predictions`` (CSV). Preprocessing is fitted on the training rows only. The CSV is
+    ``predictions`` (CSV); ``Audit.write_tables`` adds the result tables. Rows without an id
+    are on neither side of the split; ``split_counts`` says how many. ``pre_aggregate``
+    counts combinations of all attributes first, for a few attributes of low cardinality.
+    Preprocessing is fitted on the training rows only. The CSV is
     parsed and the test rows are scored once, as every later step reads the written tables.
     """
     roles = AuditRoles(LABEL, "prediction", attributes, score="score", id=ID)
     table = write_parquet(prepared(spark, path, schema), f"{output}/processed")
     require_columns(table, [ID, LABEL, *attributes])
 
-    train, test = split.train_and_test(
-        split.stratified_hash_split(table, ID, LABEL, train_fraction)
-    )
+    sides = split.stratified_hash_split(table, ID, LABEL, train_fraction)
+    train, test = split.train_and_test(sides)
     numeric, categorical = available_features(table, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
     fitted = model.fit_classifier(
         train, LABEL, numeric, categorical, estimator, order_by=ID, **settings
@@ -185,4 +231,5 @@ def run(
     predictions = write_parquet(scored, f"{output}/scored")
     columns = [ID, LABEL, "prediction", *attributes]
     write_predictions_csv(predictions, f"{output}/predictions", columns)
-    return Audit(fitted, table, predictions, roles)
+    counts = split.split_counts(sides, ID)
+    return Audit(fitted, table, predictions, roles, counts, pre_aggregate, include_lowest, null_group)

@@ -34,12 +34,12 @@ from parityscope.plans.audit_views import (
     audit_orders,
     table,
 )
+from parityscope.plans.scratch import scratch_path
 from parityscope.sources import (
     first_rows,
     load_model,
     read_csv,
     save_model,
-    scratch_path,
     write_parquet,
     write_predictions_csv,
 )
@@ -49,7 +49,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 DOCS_BY_LANG = replace(DOCS_ROLES, attributes=("lang",))
 LINES_BY_SEGMENT = replace(LINES_ROLES, attributes=("c_mktsegment",))
 PAIR = ("BUILDING", "MACHINERY")
-SMALL_FOREST = {"numTrees": 10, "maxDepth": 4}
+SMALL_FOREST = {"numTrees": 10, "maxDepth": 4, "featureSubsetStrategy": "all"}
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -87,7 +87,8 @@ def parquet_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def predictions_csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    positive = F.least(F.col("n_chars"), F.lit(20000)).cast("double") / 20000
+    length = F.col("n_chars").cast("double")
+    positive = length / (length + 1000)
     chars = table(spark, folder, "documents").select("doc_id", positive.alias("p"))
     scored = audit_docs(spark, folder).join(chars, "doc_id")
     scored = scored.withColumn("probability", array_to_vector(F.array(1 - F.col("p"), F.col("p"))))
@@ -240,6 +241,8 @@ def standardize(spark: SparkSession, folder: str) -> DataFrame:
 
 def feature_set(spark: SparkSession, folder: str) -> DataFrame:
     orders = split.stratified_hash_split(audit_orders(spark, folder), "o_orderkey", "label")
+    # Fitting and scoring pass over the rows three times: the join is made once.
+    orders = write_parquet(orders, scratch_path(spark, "orders"))
     numeric, categorical = features.available_features(
         orders, [*ORDERS_NUMERIC, "o_absent"], ["c_absent", *ORDERS_CATEGORICAL]
     )
@@ -276,40 +279,57 @@ def union_all(spark: SparkSession, folder: str) -> DataFrame:
 # Models
 
 
-def _split_orders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    orders = split.stratified_hash_split(audit_orders(spark, folder), "o_orderkey", "label")
-    return split.train_and_test(orders)
+def _separable(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders labelled by a limit on one feature, which a tree finds whatever rows it draws."""
+    return audit_orders(spark, folder).withColumn("label", (F.col("c_nationkey") < 12).cast("int"))
 
 
-def _fit_orders(train: DataFrame, estimator: str) -> PipelineModel:
-    settings = SMALL_FOREST if estimator == "rf" else {"maxIter": 10, "regParam": 0.01}
+def _fit_forest(train: DataFrame) -> PipelineModel:
     return model.fit_classifier(
-        train, "label", ORDERS_NUMERIC, ORDERS_CATEGORICAL, estimator, order_by="o_orderkey", **settings
+        train, "label", ORDERS_NUMERIC, ORDERS_CATEGORICAL, order_by="o_orderkey", **SMALL_FOREST
     )
 
 
-def _scored_orders(spark: SparkSession, folder: str, estimator: str) -> DataFrame:
-    train, test = _split_orders(spark, folder)
-    return model.score(_fit_orders(train, estimator), test)
+def _split(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split.train_and_test(split.stratified_hash_split(orders, "o_orderkey", "label"))
+
+
+def _scored_orders(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _split(_separable(spark, folder))
+    return model.score(_fit_forest(train), test)
 
 
 def rf_train_score(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored_orders(spark, folder, "rf").select("o_orderkey", "label", "prediction", "score")
+    return _scored_orders(spark, folder).select("o_orderkey", "label", "prediction", "score")
 
 
 def logreg_train_score(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored_orders(spark, folder, "logreg").select("o_orderkey", "label", "prediction", "score")
+    """All test rows. Where the fit has converged, the mean score of the training rows is the
+    mean of their labels, as the intercept is not penalised."""
+    train, test = _split(audit_orders(spark, folder))
+    fitted = model.fit_classifier(
+        train, "label", ORDERS_NUMERIC, ORDERS_CATEGORICAL, "logreg", order_by="o_orderkey",
+        regParam=0.01, maxIter=200, tol=1e-10,
+    )
+    mean = model.score(fitted, train).agg(F.avg("score").alias("mean")).scalar()
+    return model.score(fitted, test).select(
+        "o_orderkey",
+        "label",
+        F.round(mean, 6).alias("mean_training_score"),
+        F.col("score").between(0, 1).alias("is_probability"),
+        ((F.col("score") > 0.5) == (F.col("prediction") == 1)).alias("prediction_fits"),
+    )
 
 
 def top_k_importance(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = _split_orders(spark, folder)
-    return model.feature_importance(_fit_orders(train, "rf"), spark, k=3)
+    train, _ = _split(_separable(spark, folder))
+    return model.feature_importance(_fit_forest(train), spark, k=3)
 
 
 def model_save_load(spark: SparkSession, folder: str) -> DataFrame:
     """Rows scored by the saved and reloaded model, and those on which it differs from the original."""
-    train, test = _split_orders(spark, folder)
-    fitted = _fit_orders(train, "rf")
+    train, test = _split(audit_orders(spark, folder))
+    fitted = _fit_forest(train)
     path = scratch_path(spark, "model")
     save_model(fitted, path)
     first = model.score(fitted, test, "before").select("o_orderkey", *_INPUTS, "before")
@@ -324,10 +344,9 @@ _INPUTS = (*ORDERS_NUMERIC, *ORDERS_CATEGORICAL)
 
 
 def train_and_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Split, train, score, write the scored rows once, and report bias from what was written."""
-    scored = _scored_orders(spark, folder, "rf").select(*ORDERS_ROLES.columns())
-    written = write_parquet(scored, scratch_path(spark, "scored"))
-    return fairness.bias_report(written, ORDERS_ROLES, pre_aggregate=True)
+    """Split, train, score, and report bias. The report reads the scored rows once."""
+    scored = _scored_orders(spark, folder).select(*ORDERS_ROLES.columns())
+    return _rounded(fairness.bias_report(scored, ORDERS_ROLES), "value")
 
 
 # Evaluation
@@ -362,6 +381,37 @@ def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.confusion_matrix(audit_docs(spark, folder), "label", "prediction")
 
 
+def class_metrics_odd_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions that name no class: fractions, NaN and null, beside classes 0, 1 and 2."""
+    return _rounded(evaluate.class_metrics(_odd_lines(spark, folder), "label", "prediction"), "f1", digits=9)
+
+
+def auc_nan_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(evaluate.auc(_odd_lines(spark, folder), "label", "score"), "auc", digits=9)
+
+
+def calibration_means_nan_scores(spark: SparkSession, folder: str) -> DataFrame:
+    means = fairness.calibration_means(_odd_lines(spark, folder), LINES_ROLES)
+    return _rounded(means, "mean_predicted", "mean_actual")
+
+
+def bias_report_nan_scores(spark: SparkSession, folder: str) -> DataFrame:
+    report = fairness.bias_report(_odd_lines(spark, folder), LINES_ROLES, include_lowest=True)
+    return _rounded(report.filter("section = 'calibration'"), "value")
+
+
+def _odd_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The order lines with NaN, null and fractional values, by the score they had."""
+    lines = audit_lines(spark, folder)
+    place = F.round(F.col("score") * 49).cast("int")
+    prediction = (
+        F.when(place == 5, F.lit(0.9)).when(place == 6, F.lit(float("nan"))).when(place == 7, F.lit(None))
+        .when(place == 8, F.lit(2.0)).otherwise(F.col("prediction").cast("double"))
+    )
+    score = F.when(place == 9, F.lit(float("nan"))).when(place == 10, F.lit(None)).otherwise(F.col("score"))
+    return lines.withColumns({"prediction": prediction, "score": score})
+
+
 # Statistics
 
 
@@ -516,15 +566,16 @@ _QUERIES: tuple[Query, ...] = (
     string_index, assemble_skip, assembly_report, standardize, feature_set,
     stratified_split, union_all,
     rf_train_score, logreg_train_score, top_k_importance, model_save_load, train_and_audit,
-    auc, auc_many_scores, classification_metrics, class_metrics, confusion_counts, confusion_matrix,
+    auc, auc_many_scores, auc_nan_scores, classification_metrics, class_metrics, class_metrics_odd_values,
+    confusion_counts, confusion_matrix,
     summary_stats, distribution, distinct_groups, share_of_total, share_of_named,
     group_label_counts, group_label_pivot, rate_by_group, histogram,
     group_metrics, group_metrics_lines, multi_attribute_metrics, multi_attribute_combined,
     comparison_table, metrics_long, pair_disparity, pair_disparity_largest,
     demographic_parity, parity_disparity, equalized_odds, odds_disparity,
     equal_opportunity, opportunity_disparity, severity_bands,
-    score_extract, calibration_bins, calibration_curves, calibration_means,
-    bias_report, bias_report_combined,
+    score_extract, calibration_bins, calibration_curves, calibration_means, calibration_means_nan_scores,
+    bias_report, bias_report_combined, bias_report_nan_scores,
 )
 
 

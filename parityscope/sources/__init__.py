@@ -2,7 +2,7 @@
 
 from parityscope.sources.csv import read_csv, write_predictions_csv
 from parityscope.sources.models import load_model, save_model
-from parityscope.sources.tables import first_rows, read_parquet, scratch_path, write_parquet
+from parityscope.sources.tables import first_rows, read_parquet, write_parquet
 
 __all__ = [
     "first_rows",
@@ -10,7 +10,6 @@ __all__ = [
     "read_csv",
     "read_parquet",
     "save_model",
-    "scratch_path",
     "write_parquet",
     "write_predictions_csv",
 ]

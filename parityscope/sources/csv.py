@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ def _header_names(spark: SparkSession, path: str) -> list[str]:
     first = spark.read.csv(path, header=False).limit(1).first()
     if first is None:
         raise ValueError(f"no header row in {path}")
-    return [(name or "").strip() or f"_c{position}" for position, name in enumerate(first)]
+    return [name or "" for name in first]
 
 
 def _first_copies(names: Sequence[str], case_sensitive: bool) -> list[int]:
@@ -28,49 +28,70 @@ def _first_copies(names: Sequence[str], case_sensitive: bool) -> list[int]:
     return sorted(seen.values())
 
 
+def _check_each_header(spark: SparkSession, path: str, written: list[str]) -> None:
+    """Raise unless all files have the same header."""
+    for file in spark.read.csv(path, header=False).inputFiles():
+        if _header_names(spark, file) != written:
+            raise ValueError(f"the header of {file} differs from {written}")
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
     sampling_ratio: float | None = None,
+    optional: Collection[str] = (),
+    aliases: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """CSV with a header; empty fields are null.
+    """CSV with a header; empty fields, and fields of another type than declared, are null.
 
     Where a header name is repeated, the first copy is kept under its own name and
-    the others are dropped. Header names are trimmed.
+    the others are dropped. Header names are trimmed. All files of a folder must have
+    the same header: columns are taken by position, so another order would swap them.
+    Spark checks that while it reads; headers with repeated or padded names, which it
+    can't check, are compared beforehand.
 
     With ``schema`` (fields matched to the header by name) the file is read once and
-    only wanted columns are returned. Without it the types are inferred, which costs
+    only wanted columns are returned. A field the header lacks raises, unless it is one
+    of ``optional``, or ``aliases`` gives a fragment of a header name for it; then the
+    first such column is taken. Without a schema the types are inferred, which costs
     one more pass; ``sampling_ratio`` shortens that pass.
     """
-    names = _header_names(spark, path)
+    written = _header_names(spark, path)
+    names = [name.strip() or f"_c{position}" for position, name in enumerate(written)]
     case_sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
     keep = _first_copies(names, case_sensitive)
-    positional = [f"_{i}" for i in range(len(names))]
+    tidy = len(keep) == len(names) and names == written
+    if not tidy:
+        _check_each_header(spark, path, written)
+    on_file = names if tidy else [f"_{i}" for i in range(len(names))]
     reader = spark.read.option("header", True).option("nullValue", "").option("nanValue", "")
+    reader = reader.option("enforceSchema", not tidy)
 
     if schema is None:
         if sampling_ratio is not None:
             reader = reader.option("samplingRatio", sampling_ratio)
-        raw = reader.option("inferSchema", True).csv(path).toDF(*positional)
-        return raw.select([F.col(positional[i]).alias(names[i]) for i in keep])
+        raw = reader.option("inferSchema", True).csv(path).toDF(*[f"_{i}" for i in range(len(names))])
+        return raw.select([F.col(f"_{i}").alias(names[i]) for i in keep])
 
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     position_of = {names[i] if case_sensitive else names[i].lower(): i for i in keep}
-    wanted = {
-        field.name: position_of.get(field.name if case_sensitive else field.name.lower())
-        for field in schema.fields
-    }
-    absent = [name for name, position in wanted.items() if position is None]
+    wanted = {}
+    for field in schema.fields:
+        position = position_of.get(field.name if case_sensitive else field.name.lower())
+        if position is None and field.name in (aliases or {}):
+            fragment = aliases[field.name].lower()
+            position = next((i for i in keep if fragment in names[i].lower()), None)
+        wanted[field.name] = position
+    absent = [name for name, position in wanted.items() if position is None and name not in optional]
     if absent:
         raise ValueError(f"schema names {absent} are not in the header {names}")
+    wanted = {name: position for name, position in wanted.items() if position is not None}
     types = {position: schema[name].dataType for name, position in wanted.items()}
-    on_disk = T.StructType(
-        [T.StructField(positional[i], types.get(i, T.StringType())) for i in range(len(names))]
-    )
-    raw = reader.schema(on_disk).option("enforceSchema", True).csv(path)
-    return raw.select([F.col(positional[i]).alias(name) for name, i in wanted.items()])
+    on_disk = T.StructType([T.StructField(on_file[i], types.get(i, T.StringType())) for i in range(len(names))])
+    raw = reader.schema(on_disk).csv(path)
+    return raw.select([raw[f"`{on_file[i]}`"].alias(name) for name, i in wanted.items()])
 
 
 def write_predictions_csv(

@@ -1,12 +1,7 @@
-"""Parquet tables, bounded exports and scratch locations."""
+"""Parquet tables and bounded exports."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,19 +28,3 @@ def first_rows(df: DataFrame, n: int, order_by: str | list[str]) -> DataFrame:
     """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(n)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a table that must be written on the way.
-
-    It lies in the shared folder of ``spark.checkpoint.dir``. Only a local master may
-    go without that setting; it gets a temporary folder, removed at exit.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="parityscope-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return f"{folder}/{name}"

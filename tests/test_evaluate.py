@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from parityscope.operators import evaluate
+from parityscope.operators import evaluate, fairness
 from parityscope.plans.audit_views import LINES_ROLES, audit_lines
 from parityscope.roles import AuditRoles
 
@@ -22,10 +22,10 @@ def test_auc_ties(spark):
     assert evaluate.auc(df, "y", "s").first().auc == 0.875
 
 
-@pytest.mark.parametrize("buckets", [2, 8, None])
+@pytest.mark.parametrize("partitions", [1, 8, 300])
 @pytest.mark.parametrize("kind", ["spread", "ties", "hot"])
-def test_auc_against_brute_force(spark, buckets, kind):
-    draw = random.Random(buckets or 0)
+def test_auc_against_brute_force(spark, partitions, kind):
+    draw = random.Random(partitions)
     rows = []
     for _ in range(600):
         y = draw.choice([0, 0, 1, None, 2])
@@ -37,9 +37,14 @@ def test_auc_against_brute_force(spark, buckets, kind):
         rows.append((y, None if draw.random() < 0.05 else score))
     df = spark.createDataFrame(rows, "y int, s double")
     expected = _brute_force_auc(rows)
-    for parts in (1, 16):
-        found = evaluate.auc(df.repartition(parts), "y", "s", buckets).first().auc
-        assert found == pytest.approx(expected, abs=1e-12)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for parts in (1, 16):
+            found = evaluate.auc(df.repartition(parts), "y", "s").first().auc
+            assert found == pytest.approx(expected, abs=1e-12)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
 
 
 def test_auc_passes_over_nan_scores(spark):
@@ -51,8 +56,6 @@ def test_auc_without_a_class_is_null(spark):
     df = spark.createDataFrame([(1, 0.9), (1, 0.4)], "y int, s double")
     assert evaluate.auc(df, "y", "s").first().auc is None
     assert evaluate.auc(df.limit(0), "y", "s").first().auc is None
-    with pytest.raises(ValueError):
-        evaluate.auc(df, "y", "s", buckets=1000)
 
 
 def test_metrics_equal_the_library_evaluators(spark, sf_medium):
@@ -95,3 +98,25 @@ def test_confusion_grid_is_full(spark):
     assert counts == {(0, 0): 0, (0, 1): 0, (1, 0): 0, (1, 1): 2}
     matrix = {r.label: (r.predicted_0, r.predicted_1) for r in evaluate.confusion_matrix(df, "y", "p").collect()}
     assert matrix == {0: (0, 0), 1: (0, 2)}
+
+
+def test_values_that_name_no_class_are_not_counted(spark):
+    nan = float("nan")
+    rows = [(1.0, 1.0), (1.0, 0.9), (0.0, 1.5), (1.0, nan), (nan, 1.0), (0.0, None), (None, 0.0), (0.0, 2.0), (0.0, 0.0), (1.0, 0.0), (0.5, 0.0)]
+    df = spark.createDataFrame([(*r, "g", 0.5) for r in rows], "y double, p double, g string, s double")
+    counts = {(r.label, r.prediction): r.n for r in evaluate.confusion_counts(df, "y", "p").collect()}
+    assert counts == {(0, 0): 1, (0, 1): 0, (1, 0): 1, (1, 1): 1}
+    group = fairness.confusion_by_group(df, AuditRoles("y", "p", ("g",))).first()
+    assert (group.tn, group.fp, group.fn, group.tp) == (1, 0, 1, 1)
+    classes = {r["class"]: (r.tp, r.actual, r.predicted) for r in evaluate.class_metrics(df, "y", "p").collect()}
+    assert classes == {0: (1, 2, 2), 1: (1, 2, 1), 2: (0, 0, 1)}
+    for score in (None, "s"):
+        assert evaluate.classification_metrics(df, AuditRoles("y", "p", score=score)).first().accuracy == 0.5
+
+
+def test_metrics_with_missing_and_nan_scores(spark):
+    rows = [(1, 1, 0.9), (1, 0, 0.4), (0, 0, 0.4), (0, 0, 0.1), (0, 1, float("nan")), (1, 1, None), (0, None, 0.2)]
+    df = spark.createDataFrame(rows, "y int, p int, s double")
+    metrics = evaluate.classification_metrics(df, AuditRoles("y", "p", score="s")).first()
+    assert metrics.accuracy == pytest.approx(4 / 6)
+    assert metrics.auc == evaluate.auc(df, "y", "s").first().auc == pytest.approx(5.5 / 6)

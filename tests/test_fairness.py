@@ -219,3 +219,16 @@ def test_comparison_and_long_form(frame):
     metrics = fairness.group_metrics(frame([("a", 1, 1), ("b", 0, 0)]), ROLES)
     assert fairness.comparison_table(metrics).columns == ["attribute", "group", "tpr", "fpr", "ppv", "accuracy"]
     assert fairness.metrics_long(metrics).count() == 8
+
+
+def test_a_nan_score_is_passed_over(spark):
+    rows = [("a", 1, 1, 0.5), ("a", 0, 1, float("nan")), ("a", 0, 0, 0.0), ("b", 1, 1, None), ("b", 1, 0, 0.3)]
+    df = spark.createDataFrame(rows, "g string, y int, p int, s double")
+    roles = AuditRoles("y", "p", ("g",), score="s")
+    means = {r.group: (r.mean_predicted, r.mean_actual) for r in fairness.calibration_means(df, roles).collect()}
+    assert means == {"a": (0.25, pytest.approx(1 / 3)), "b": (0.3, 1.0)}
+    for lowest in (False, True):
+        report = fairness.bias_report(df, roles, include_lowest=lowest).filter("section = 'calibration'").collect()
+        found = {(r.group, r.metric): r.value for r in report if r.bin is None}
+        assert found["a", "mean_predicted"] == 0.25 and found["b", "mean_predicted"] == 0.3
+        assert sum(r.value for r in report if r.metric == "count") == 2 + lowest

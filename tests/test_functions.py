@@ -118,3 +118,15 @@ def test_score_bins_are_right_closed(spark):
     df = spark.createDataFrame([(s,) for s in scores], "s double")
     assert _values(df, score_bin(F.col("s"))) == [None, 1, 3, 3, 7, 10, None, None, None]
     assert _values(df, score_bin(F.col("s"), include_lowest=True)) == [1, 1, 3, 3, 7, 10, None, None, None]
+
+
+def test_text_that_is_no_number_is_null(spark):
+    df = spark.createDataFrame([("x", "2"), ("3", None)], "a string, b string")
+    assert _values(df, power(df, "a", 2)) == [None, 9.0]
+    assert _values(df, product(df, "a", "b")) == [None, None]
+    assert _values(df, row_sum(df, "a")) == [None, 3.0]
+
+
+def test_booleans_as_integers(spark):
+    df = spark.createDataFrame([(True,), (False,), (None,)], "a boolean")
+    assert _values(df, integer_or_null(df, "a")) == [1, 0, None]

@@ -1,10 +1,13 @@
 """Shape of the physical plans: what is scanned, shuffled and pushed down."""
 
+import json
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 
-import __spark_entry__ as entry_point
 from parityscope.operators import evaluate, fairness, split
 from parityscope.plans import registry
 from parityscope.plans.audit_views import LINES_ROLES, audit_lines, table
@@ -26,9 +29,9 @@ def _executed(df):
     return text[: text.rindex("== Initial Plan ==")] if "== Initial Plan ==" in text else text
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - TRAINED))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - TRAINED))
 def test_no_python_workers_and_no_pairing_of_all_rows(spark, sf_small, name):
-    assert not NOT_WANTED.search(_plan(entry_point.queries()[name](spark, sf_small)))
+    assert not NOT_WANTED.search(_plan(registry.queries()[name](spark, sf_small)))
 
 
 @pytest.fixture(scope="module")
@@ -63,11 +66,61 @@ def test_only_needed_columns_are_read(written):
     assert {c.split(":")[0] for c in schema.group(1).split(",")} == {"prediction", "c_mktsegment", "o_orderpriority"}
 
 
-def test_auc_shuffles_scores_once_and_ranks_inside_buckets(written):
+def test_auc_reads_once_and_ranks_inside_ranges(written):
     plan = _executed(evaluate.auc(written, "label", "score"))
-    assert "ReusedExchange" in plan
+    assert plan.count("FileScan") == 1 and "rangepartitioning(score" in plan
     ranking = [line for line in plan.splitlines() if "Window" in line and "score#" in line]
-    assert ranking and all(re.search(r"\], \[bucket#\d+\], \[score#", line) for line in ranking)
+    assert ranking and all(re.search(r"\], \[range#\d+\], \[score#", line) for line in ranking)
+
+
+def _records_read(spark, tmp_path, action):
+    """Records that tasks read from files, by the event log of a session of its own."""
+    script = tmp_path / "run.py"
+    script.write_text(action)
+    logs = tmp_path / "events"
+    logs.mkdir()
+    subprocess.run(
+        [sys.executable, str(script), str(logs)], check=True, capture_output=True, timeout=300,
+        env=os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))},
+    )
+    total = 0
+    for log in logs.rglob("*"):
+        for line in log.open() if log.is_file() and not log.name.endswith(".crc") else ():
+            event = json.loads(line)
+            if event["Event"] == "SparkListenerTaskEnd":
+                total += (event.get("Task Metrics") or {}).get("Input Metrics", {}).get("Records Read", 0)
+    return total
+
+
+_START = """
+import sys
+from pyspark.sql import SparkSession
+spark = (
+    SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "4").config("spark.eventLog.enabled", "true")
+    .config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false")
+    .config("spark.eventLog.dir", "file://" + sys.argv[1]).getOrCreate()
+)
+from parityscope.operators import evaluate, model
+from parityscope.plans import registry
+from parityscope.plans.audit_views import LINES_ROLES, ORDERS_CATEGORICAL, ORDERS_NUMERIC, audit_lines, audit_orders
+folder = "/root/testdata/sf0.001"
+"""
+
+
+def test_metrics_read_their_table_once(spark, sf_small, tmp_path):
+    one = sum(table(spark, sf_small, t).count() for t in ("lineitem", "orders", "customer"))
+    action = _START + "evaluate.classification_metrics(audit_lines(spark, folder), LINES_ROLES).collect()\nspark.stop()"
+    assert _records_read(spark, tmp_path, action) == one
+
+
+def test_fitting_reads_its_table_once(spark, sf_small, tmp_path):
+    one = sum(table(spark, sf_small, t).count() for t in ("orders", "customer"))
+    action = _START + (
+        "model.fit_classifier(audit_orders(spark, folder), 'label', ORDERS_NUMERIC, ORDERS_CATEGORICAL, "
+        "order_by='o_orderkey', numTrees=3, maxDepth=3)\nspark.stop()"
+    )
+    assert _records_read(spark, tmp_path, action) == one
 
 
 def test_share_counts_the_table_once(spark, sf_small):
@@ -84,7 +137,7 @@ def test_split_and_row_wise_operators_do_not_shuffle(spark, sf_small):
     assert "Exchange" not in _plan(split.stratified_hash_split(orders, "o_orderkey", "label"))
     for name in ("threshold_flags", "row_sum_interactions", "polynomial_features", "try_int",
                  "band_numeric", "collapse_categories", "select_available", "class_filter", "score_extract"):
-        assert "Exchange" not in _plan(entry_point.queries()[name](spark, sf_small)), name
+        assert "Exchange" not in _plan(registry.queries()[name](spark, sf_small)), name
 
 
 def test_filters_reach_the_scan(spark, sf_small):

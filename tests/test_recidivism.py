@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from parityscope import __main__ as command_line
 from parityscope.operators import evaluate, fairness, model
 from parityscope.plans import recidivism
 from parityscope.roles import MissingColumnsError
@@ -168,3 +169,37 @@ def test_logistic_regression(spark, csv_path, tmp_path):
     assert audit.metrics().first().auc > 0.65
     with pytest.raises(ValueError):
         audit.importances()
+
+
+def test_command_line_writes_every_table(spark, csv_path, tmp_path, capsys):
+    command_line.main(["--input", csv_path, "--output", str(tmp_path), "--trees", "4", "--depth", "4", "--include-lowest"])
+    report = spark.read.parquet(f"{tmp_path}/bias_report")
+    assert {r.section for r in report.select("section").distinct().collect()} == {
+        "demographic_parity", "equalized_odds", "equal_opportunity", "calibration",
+    }
+    gaps = {(r.section, r.attribute, r.metric) for r in report.filter("is_disparity").collect()}
+    assert len(gaps) == 4 * len(recidivism.ATTRIBUTES)
+    printed = capsys.readouterr().out
+    for name in ("statistics", "distributions", "metrics", "confusion_matrix", "group_metrics", "pair_disparity",
+                 "bias_report", "importances", "split_counts"):
+        rows = spark.read.parquet(f"{tmp_path}/{name}").count()
+        assert rows > 0 and f"{name}: {rows} rows in" in printed
+
+
+def test_same_forest_whatever_the_shuffle_partitions(spark, csv_path, tmp_path):
+    usual, scores = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (2, 4, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            audit = recidivism.run(spark, csv_path, f"{tmp_path}/{n}", numTrees=4, maxDepth=4)
+            scores.append(sorted((r.id, r.score) for r in audit.predictions.select("id", "score").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_bad_text_in_a_number_is_null(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("id,sex,age,race,two_year_recid,priors_n\n1,Male,x,Asian,1,3\n2,Male,30,Asian,1,y\n3,Male,31,Asian,0,4\n")
+    rows = recidivism.prepared(spark, str(path)).orderBy("id").collect()
+    assert [(r.id, r.age, r.priors_count) for r in rows] == [(2, 30, 0), (3, 31, 4)]

@@ -4,7 +4,9 @@ import pytest
 from pyspark.ml.linalg import Vectors
 
 from parityscope.roles import AuditRoles, MissingColumnsError, column_report, require_columns
-from parityscope.sources import first_rows, read_csv, scratch_path, write_parquet, write_predictions_csv
+from parityscope.plans import scratch
+from parityscope.plans.scratch import scratch_path
+from parityscope.sources import first_rows, read_csv, write_parquet, write_predictions_csv
 
 
 @pytest.fixture
@@ -82,13 +84,18 @@ def test_first_rows_are_ordered_and_bounded(spark):
 def _session(master, **settings):
     """Stands in for a session: the folder can only be set when a real one starts."""
     conf = SimpleNamespace(get=lambda key, default=None: settings.get(key.replace(".", "_"), default))
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: settings.get("by_call"))
+    return SimpleNamespace(conf=conf, sparkContext=context)
 
 
-def test_scratch_path_uses_the_shared_folder(spark):
+def test_scratch_path_uses_the_shared_folder(spark, monkeypatch):
+    deleted = []
+    monkeypatch.setattr(scratch, "_delete_at_exit", lambda _, path: deleted.append(path))
+    assert scratch_path(_session("yarn", by_call="hdfs:///called"), "t").startswith("hdfs:///called/t-")
     cluster = _session("yarn", spark_checkpoint_dir="hdfs:///shared/")
     first, second = scratch_path(cluster, "t"), scratch_path(cluster, "t")
     assert first.startswith("hdfs:///shared/t-") and first != second
+    assert deleted[1:] == [first, second]
     with pytest.raises(RuntimeError):
         scratch_path(_session("yarn"), "t")
     assert scratch_path(spark, "t") != scratch_path(spark, "t")
@@ -108,3 +115,31 @@ def test_roles_and_reports(spark):
         column_report(df, ["z"])
     with pytest.raises(MissingColumnsError):
         require_columns(df, ["y", "z"])
+
+
+def _folder(tmp_path, *files):
+    for number, text in enumerate(files):
+        (tmp_path / f"{number}.csv").write_text(text)
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("header", ["id,{},{}", "id,{} ,{},id"])
+def test_files_of_another_column_order_raise(spark, tmp_path, header):
+    rows = "1,2,3,4\n" if header.count(",") == 3 else "1,2,3\n"
+    path = _folder(tmp_path, header.format("x", "y") + "\n" + rows, header.format("y", "x") + "\n" + rows)
+    for schema in ("id int, x int, y int", None):
+        with pytest.raises(Exception, match="header|Header"):
+            read_csv(spark, path, schema).collect()
+
+
+def test_files_of_one_header_are_read_together(spark, tmp_path):
+    path = _folder(tmp_path, "id,x\n1,2\n", "id,x\n3,bad\n")
+    assert sorted((r.id, r.x) for r in read_csv(spark, path, "x int, id int").collect()) == [(1, 2), (3, None)]
+
+
+def test_optional_columns_and_near_names(spark, tmp_path):
+    path = _folder(tmp_path, "id,n_priors_9\n1,2\n")
+    read = read_csv(spark, path, "id int, age int, priors int", optional=["age"], aliases={"priors": "PRIORS"})
+    assert [tuple(r) for r in read.collect()] == [(1, 2)] and read.columns == ["id", "priors"]
+    with pytest.raises(ValueError):
+        read_csv(spark, path, "id int, age int")

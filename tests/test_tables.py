@@ -152,3 +152,21 @@ def test_histogram_edges(spark):
     constant = spark.createDataFrame([(4.0,), (4.0,)], "x double")
     assert [(r.bin, r.lower, r.upper, r.n) for r in profile.histogram(constant, "x").collect()] == [(0, 4.0, 4.0, 2)]
     assert profile.histogram(df.limit(0), "x").count() == 0
+
+
+def test_split_fractions_are_not_rounded(spark):
+    df = spark.range(200_000).select(F.col("id"), F.lit(1).alias("label"))
+    counts = {r["split"]: r["n"] for r in split.split_counts(split.stratified_hash_split(df, "id", "label", 0.9999), "id").collect()}
+    assert 5 <= counts["test"] <= 45
+    counts = {r["split"]: r["n"] for r in split.split_counts(split.stratified_hash_split(df, "id", "label", 0.99999), "id").collect()}
+    assert 0 < counts.get("test", 0) <= 10
+    with pytest.raises(ValueError):
+        split.stratified_hash_split(df, "id", "label", 1 - 1e-12)
+
+
+def test_rows_without_key_are_on_no_side(spark):
+    df = spark.createDataFrame([(None, 1), (None, 0), (1, 1), (2, None)], "id int, label int")
+    rows = split.stratified_hash_split(df, "id", "label", 0.5).collect()
+    assert [r.split for r in rows if r.id is None or r.label is None] == [None] * 3
+    counts = {r["split"]: (r.n, r.without_key) for r in split.split_counts(split.stratified_hash_split(df, "id", "label", 0.5), "id").collect()}
+    assert counts[None] == (3, 2)
