@@ -83,11 +83,14 @@ def _records_read(spark, tmp_path, action):
         [sys.executable, str(script), str(logs)], check=True, capture_output=True, timeout=300,
         env=os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))},
     )
-    total = 0
+    total, scanning = 0, set()
     for log in logs.rglob("*"):
         for line in log.open() if log.is_file() and not log.name.endswith(".crc") else ():
             event = json.loads(line)
-            if event["Event"] == "SparkListenerTaskEnd":
+            if event["Event"] == "SparkListenerStageSubmitted":  # reading a cache counts as input, too
+                if any("Scan parquet" in r.get("Scope", "") for r in event["Stage Info"]["RDD Info"]):
+                    scanning.add(event["Stage Info"]["Stage ID"])
+            if event["Event"] == "SparkListenerTaskEnd" and event["Stage ID"] in scanning:
                 total += (event.get("Task Metrics") or {}).get("Input Metrics", {}).get("Records Read", 0)
     return total
 
