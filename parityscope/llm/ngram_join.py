@@ -44,7 +44,7 @@ from parityscope.llm.text_bytes import Texts, mix, slices
 
 WORDS = 5
 #: Most runs that a pair may be asked to share.
-LONGEST_MATCH = 4
+LONGEST_MATCH = 16
 #: Cells that count runs: a vector of fixed size, whatever the number of documents.
 CELL_BITS = 20
 _BLOCK = 4096
@@ -123,33 +123,40 @@ def _prefix(runs: np.ndarray, counts: np.ndarray, usual: float) -> tuple[np.ndar
     shortest = n - _least_overlap(n) + 1
     order = np.lexsort((runs, common))[: shortest + LONGEST_MATCH - 1]
     others = np.cumsum(np.maximum(common[order] - usual, 0))
-    best, match = None, 1
-    for wanted in range(1, min(LONGEST_MATCH, _least_overlap(n)) + 1):
-        looked_up = others[min(shortest + wanted - 1, len(others)) - 1]
-        cost = looked_up * (1 + _VERIFY * n / wanted)
-        if best is None or cost < best:
-            best, match = cost, wanted
+    wanted = np.arange(1, min(LONGEST_MATCH, _least_overlap(n)) + 1)
+    looked_up = others[np.minimum(shortest + wanted - 1, len(others)) - 1]
+    match = int(np.argmin(looked_up * (1 + _VERIFY * n / wanted))) + 1
     return runs[order], match, int(np.searchsorted(common[order], usual + _COMMON, side="right"))
 
 
-def _signer(counts: np.ndarray):
+def _digest(runs: np.ndarray) -> bytes:
+    return hashlib.md5(runs.tobytes(), usedforsecurity=False).digest()
+
+
+def _measured() -> TextFunction:
+    def measure(texts: Texts) -> list[pa.Array]:
+        sets = list(shingle_sets(texts))
+        return [pa.array([len(x) for x in sets], pa.int32()), pa.array([_digest(x) for x in sets], pa.binary())]
+
+    return measure
+
+
+def _prefixed(counts: np.ndarray):
     # What a cell holds besides the run in question: its load, and chance on top of it.
     usual = counts.mean() + 3 * np.sqrt(counts.mean()) + 1
 
     def make() -> TextFunction:
         def sign(texts: Texts) -> list[pa.Array]:
-            sizes, digests, matches, rare, prefixes = [], [], [], [], []
+            digests, matches, rare, prefixes = [], [], [], []
             for runs in shingle_sets(texts):
                 prefix, match, n_rare = _prefix(runs, counts, usual) if len(runs) else (runs, 1, 0)
-                sizes.append(len(runs))
-                digests.append(hashlib.md5(runs.tobytes(), usedforsecurity=False).digest())
+                digests.append(_digest(runs))
                 matches.append(match)
                 rare.append(n_rare)
                 prefixes.append(prefix.view(np.int64))
             ends = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             return [
-                pa.array(sizes, pa.int32()),
                 pa.array(digests, pa.binary()),
                 pa.array(matches, pa.int32()),
                 pa.array(rare, pa.int32()),
@@ -235,7 +242,7 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     block, rows = None, []
     for batch in batches:
-        keys = list(zip(*(batch.column(c).to_pylist() for c in ("group", "low_part", "high_part")), strict=True))
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("kind", "group", "low_part", "high_part")), strict=True))
         nodes, lists = batch.column("node").to_pylist(), batch.column("runs")
         ends, runs = lists.offsets.to_numpy(), lists.values.to_numpy()
         for i, key in enumerate(keys):
@@ -249,18 +256,31 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _linked_in_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between members (``group``, ``node``, ``n``) of one group."""
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("total")).filter("nodes > 1")
+    """Links between members that have the same smallest or the same largest fellow.
+
+    A group of one largest fellow is passed over if all its members have one smallest
+    fellow, too: they have met there.
+    """
+    sizes = []
+    for kind, group, other in ((0, "low", "high"), (1, "high", "low")):
+        of = members.groupBy(F.col(group).alias("group")).agg(
+            F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("total"), (F.min(other) != F.max(other)).alias("mixed")
+        )
+        of = of.filter("nodes > 1" if kind == 0 else "nodes > 1 and mixed").withColumn("kind", F.lit(kind))
+        sizes.append(of)
+    sizes = sizes[0].unionAll(sizes[1])
+    one = (F.col("nodes") <= 2 * _BLOCK_NODES) & (F.col("total") <= 2 * _BLOCK_RUNS)
     parts = F.greatest(F.ceil(F.col("nodes") / _BLOCK_NODES), F.ceil(F.col("total") / _BLOCK_RUNS))
-    sizes = sizes.select("group", F.when((F.col("nodes") <= 2 * _BLOCK_NODES) & (F.col("total") <= 2 * _BLOCK_RUNS), 1).otherwise(parts).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("node"), "parts").cast("int")
-    rows = members.join(sizes, "group").withColumn("part", part)
+    sizes = sizes.select("kind", "group", F.when(one, 1).otherwise(parts).cast("int").alias("parts"))
+    own = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("group")) for k, c in enumerate(("low", "high"))]))
+    rows = members.select("node", own.alias("g")).select("node", "g.*").join(sizes, ["kind", "group"])
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     # Each part meets each other one; a group of one part is a block of its own.
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: (q != F.col("part")) | (F.col("parts") == 1))
     rows = rows.withColumn("other", F.explode(others)).select(
-        "group", "node", F.least("part", "other").alias("low_part"), F.greatest("part", "other").alias("high_part")
+        "kind", "group", "node", F.least("part", "other").alias("low_part"), F.greatest("part", "other").alias("high_part")
     )
-    block = ["group", "low_part", "high_part"]
+    block = ["kind", "group", "low_part", "high_part"]
     return rows.join(sets, "node").repartition(*block).sortWithinPartitions(*block).mapInArrow(_block_links, "u long, v long")
 
 
@@ -274,9 +294,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _shared_runs(nodes: DataFrame) -> DataFrame:
-    """``run``, ``node``, ``place``: the prefixes' runs that several nodes have, with the
-    smallest and the largest node (``low``, ``high``) of each."""
-    index = nodes.select("node", "rare", F.posexplode("prefix").alias("place", "run"))
+    """The prefixes' runs that several nodes have (``run``, ``node``, ``place`` and what
+    is known of the node), with the smallest and the largest node (``low``, ``high``)."""
+    index = nodes.select("node", "match", "rare", F.posexplode("prefix").alias("place", "run"))
 
     def several(rows: DataFrame) -> DataFrame:
         ends = rows.groupBy("run").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high")
@@ -287,31 +307,32 @@ def _shared_runs(nodes: DataFrame) -> DataFrame:
     return several(rare).unionByName(several(index.filter("place >= rare").drop("rare")))
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """For each document: the size and digest of its set, its prefix and the runs to share."""
-    fields = {"n_shingles": "int", "digest": "binary", "match": "int", "rare": "int", "prefix": "array<long>"}
-    return written(with_text_columns(docs, fields, _signer(run_counts(docs)), ["doc_id"]), "signatures")
-
-
 def linked(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = signatures(docs)
-    some = signed.filter("n_shingles > 0 and doc_id is not null")
-    kept = F.struct("prefix", "match", "rare", F.col("n_shingles").alias("n"))
-    nodes = some.groupBy("digest").agg(F.min_by(kept, "doc_id").alias("s"), F.min("doc_id").alias("node")).select("node", "s.*")
-    shared = written(_shared_runs(nodes), "shared-runs")
-
-    by_node = shared.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("known"))
+    measured = written(with_text_columns(docs, {"n_shingles": "int", "digest": "binary"}, _measured, ["doc_id"]), "sizes")
+    some = measured.filter("n_shingles > 0 and doc_id is not null")
+    nodes = some.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    # The prefixes are made in a pass of their own: they would take more room than time.
+    fields = {"digest": "binary", "match": "int", "rare": "int", "prefix": "array<long>"}
+    prefixes = with_text_columns(docs, fields, _prefixed(run_counts(docs)), ["doc_id"])
+    prefixes = prefixes.join(nodes, ["doc_id", "digest"]).withColumnRenamed("doc_id", "node")
+    shared = written(_shared_runs(prefixes), "shared-runs")
+
+    # Nodes whose runs that nobody shares are too many to be similar to any other are done.
     # Rows of one id that have several sets are one node, for which only its runs count.
-    facts = some.groupBy(F.col("doc_id").alias("node")).agg(
-        F.max("n_shingles").alias("n"), F.min("match").alias("match"), F.max(F.size("prefix")).alias("length"),
-        (F.min("digest") == F.max("digest")).alias("single"),
+    by_node = shared.groupBy("node").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min("match").alias("match"),
+        F.count(F.lit(1)).alias("known"),
     )
-    members = written(by_node.join(facts, "node").withColumn("able", F.col("n") - F.col("length") + F.col("known")), "members")
+    facts = some.groupBy(F.col("doc_id").alias("node")).agg(
+        F.max("n_shingles").alias("n"), (F.min("digest") == F.max("digest")).alias("single")
+    )
+    length = F.least(F.lit(0), LONGEST_MATCH - F.ceil(F.col("n") * 4 / 5).cast("int")) + F.col("n")
+    members = by_node.join(facts, "node").withColumn("able", F.col("n") - length + F.col("known"))
+    members = written(members.filter("not single or 5 * able >= 4 * n"), "members")
     sets = written(_sets_of(docs, members.select("node")), "sets")
-    links = [_linked_in_blocks(members.select(F.col(c).alias("group"), "node", "n"), sets) for c in ("low", "high")]
-    first = written(links[0].unionAll(links[1]), "links")
+    first = written(_linked_in_blocks(members, sets), "links")
     joined = written(connected(first), "components")
     second = written(_verified(written(_open_pairs(shared, members, joined), "pairs"), sets), "links")
     joined = connected(first.unionAll(second))
@@ -321,7 +342,7 @@ def linked(docs: DataFrame) -> DataFrame:
     by_doc = some.select("doc_id", "digest").distinct().join(same, "digest").select("doc_id", "node")
     by_doc = by_doc.join(joined, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     by_doc = by_doc.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    return signed.join(by_doc, "doc_id", "left").select(
+    return measured.join(by_doc, "doc_id", "left").select(
         "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
