@@ -10,6 +10,10 @@ query's 20th best so far: under the hypothesis that the vector is nearer than th
 a partial distance is improbable. Found vectors are scored again in double precision on
 the original components.
 
+Lists are scanned in two rounds. The first takes each query's nearest lists, as many as
+the root of those to probe; the second takes the others, with the distance of the 20th
+best of the first round as the bound to start with, so that few vectors leave a list.
+
 The centres are fitted on a bounded sample (``32`` vectors a list); every vector is
 indexed. How many lists to probe is measured, not guessed: for ``CALIBRATION`` queries
 all rows are scanned, and as many lists are probed as give ``RECALL`` of their neighbours.
@@ -46,7 +50,7 @@ BLOCK = 16
 VECTORS, QUERIES = 8192, 2048
 #: Vectors compared with every query at first, as a share of all and at most: the best of
 #: them give a bound, and are found already.
-_FIRST_SHARE, _FIRST = 1 / 8, 1024
+_FIRST_SHARE, _FIRST = 1 / 8, 4096
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -189,6 +193,23 @@ def _calibrated(rows: DataFrame, space: _Space, centres: np.ndarray, k: int) ->
     return int(ranks[min(len(ranks) - 1, math.ceil(RECALL * len(ranks)))]) + 1
 
 
+def _scanned(homes: DataFrame, probing: DataFrame, compare) -> DataFrame:
+    """What ``compare`` finds for the probing queries in the lists they probe."""
+    # At most MAX_LISTS rows of three numbers.
+    sizes = homes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / VECTORS).alias("parts"))
+    asks = probing.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("turns"))
+    sizes = F.broadcast(sizes.join(asks, "list"))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    dealt = homes.join(sizes, "list").withColumns({"part": F.pmod(F.xxhash64("entry"), "parts"), "turn": numbers("turns")})
+    taken = probing.join(sizes, "list").withColumns({"turn": F.pmod(F.xxhash64("entry", F.lit(5)), "turns"), "part": numbers("parts")})
+    block = ["list", "part", "turn"]
+    return (
+        taken.select(*block, "entry", "vec", "bound").groupBy(*block)
+        .cogroup(dealt.select(*block, "entry", "vec").groupBy(*block))
+        .applyInArrow(compare, "query long, entry long, score double")
+    )
+
+
 def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest found of each row
     for which ``is_query`` (of the column ``vec_id``) holds."""
@@ -218,6 +239,8 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
             near = [_distances(x[i : i + 4096], centres).argmin(1) for i in range(0, len(x), 4096)]
             yield batch.append_column("list", pa.array(np.concatenate([np.zeros(0, np.int64), *near]), pa.int64()))
 
+    early = math.ceil(math.sqrt(probes))
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -227,10 +250,15 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
                 if len(nearby) > k:
                     bound = np.partition(_distances(x, nearby), k, axis=1)[:, k] * (1 + 1e-9)
                 near = _near_lists(x, centres, probes)
-                which = pa.array(np.repeat(np.arange(len(x)), near.shape[1]))
+                which = np.repeat(np.arange(len(x)), near.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("entry").take(which), part.column("vec").take(which), pa.array(near.ravel()), pa.array(np.repeat(bound, near.shape[1]))],
-                    ["entry", "vec", "list", "bound"],
+                    [
+                        *(part.column(c).take(pa.array(which)) for c in ("entry", "vec")),
+                        pa.array(near.ravel()),
+                        pa.array(np.tile(np.arange(near.shape[1]) < early, len(x))),
+                        pa.array(bound[which]),
+                    ],
+                    ["entry", "vec", "list", "early", "bound"],
                 )
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,27 +278,25 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     homes = entries.select("entry", "vec").mapInArrow(home, "entry long, vec array<double>, list long")
     homes = written(homes, "lists")
     different = asked.groupBy("entry").agg(F.first("vec").alias("vec"))
-    probing = written(different.mapInArrow(probe, "entry long, vec array<double>, list long, bound double"), "probes")
+    probing = written(different.mapInArrow(probe, "entry long, vec array<double>, list long, early boolean, bound double"), "probes")
 
-    # At most MAX_LISTS rows of three numbers.
-    sizes = homes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / VECTORS).alias("parts"))
-    asks = probing.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("turns"))
-    sizes = F.broadcast(sizes.join(asks, "list"))
-    dealt = homes.join(sizes, "list").withColumns(
-        {"part": F.pmod(F.xxhash64("entry"), "parts"), "turn": F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))}
-    )
-    taken = probing.join(sizes, "list").withColumns(
-        {"turn": F.pmod(F.xxhash64("entry", F.lit(5)), "turns"), "part": F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))}
-    )
-    block = ["list", "part", "turn"]
-    found = (
-        taken.select(*block, "entry", "vec", "bound").groupBy(*block)
-        .cogroup(dealt.select(*block, "entry", "vec").groupBy(*block))
-        .applyInArrow(_scanner(space, k + 1), "query long, entry long, score double")
-    )
-    found = found.unionAll(different.mapInArrow(begin, "query long, entry long, score double")).distinct()
+    compare = _scanner(space, k + 1)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
-    found = found.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1)
+    nth = F.row_number().over(best)
+
+    def best_of(found: DataFrame) -> DataFrame:
+        return found.distinct().withColumn("nth", nth).filter(F.col("nth") <= k + 1)
+
+    begun = different.mapInArrow(begin, "query long, entry long, score double")
+    first = _scanned(homes, probing.filter("early"), compare).unionAll(begun)
+    first = written(best_of(first), "nearest")
+    # The squared distance of the last of them, in the space of the scan.
+    square = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x)
+    last = first.filter(F.col("nth") == k + 1).select(F.col("query").alias("entry"), "score")
+    later = probing.filter("not early").join(last, "entry", "left")
+    nearer = (square + F.lit(space.norm2) - 2 * F.col("score")) + 1e-9 * (square + F.lit(space.norm2))
+    later = later.withColumn("bound", F.least("bound", nearer)).drop("score")
+    found = best_of(first.drop("nth").unionAll(_scanned(homes, later, compare)))
     named = found.join(entries.select("entry", F.explode("ids").alias("vec_id")), "entry").drop("entry", "nth")
     # Of one query vector, k + 1 ids are enough for every row that has it.
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
