@@ -317,6 +317,7 @@ def linked(docs: DataFrame) -> DataFrame:
     fields = {"digest": "binary", "match": "int", "rare": "int", "prefix": "array<long>"}
     prefixes = with_text_columns(docs, fields, _prefixed(run_counts(docs)), ["doc_id"])
     prefixes = prefixes.join(nodes, ["doc_id", "digest"]).withColumnRenamed("doc_id", "node")
+    prefixes = written(prefixes.drop("digest"), "prefixes")
     shared = written(_shared_runs(prefixes), "shared-runs")
 
     # Nodes whose runs that nobody shares are too many to be similar to any other are done.

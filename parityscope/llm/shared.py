@@ -23,7 +23,10 @@ def _own_folder() -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder. Only a local master may go without the setting."""
+    """A fresh path in the shared folder, removed when the session's JVM ends.
+
+    Only a local master may go without the setting.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         set_by_call = spark.sparkContext.getCheckpointDir()
@@ -33,17 +36,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
             folder = _own_folder()
         else:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table and return it as read again: its lineage ends here."""
-    path = shared_path(df.sparkSession, name)
+    """Write a table and return it as read again: its lineage ends here.
+
+    Nothing needs the shuffle files behind it any more. Spark deletes them once the
+    driver has collected its garbage, which is asked for here: a small heap may not do
+    so for the whole job, whose disks would hold the shuffles of all its steps.
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete what ``shared_path`` named, once nothing reads it any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
