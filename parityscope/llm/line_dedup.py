@@ -18,6 +18,8 @@ columns are kept as they are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,33 +29,60 @@ from parityscope.llm.shared import written
 DEPTH = 3
 LEAST_DOCS = 3
 LEAST_FIXED = 0.7
+#: Bits of a filter: at most an eighth of as many numbers reach the driver.
+_CELLS = 1 << 20
 
 
 def _key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
+_ODD_SPACE = r"[\x09-\x0D]|\x20\x20"
+_SPACES = r"[\x20\x09-\x0D]+"
+_NUMBER = r"[^\x20]*[0-9][^\x20]*"
+
+
+def _masked(text: Column) -> Column:
+    """Words with a digit are variable fields; the regular expression runs only where one is."""
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, _NUMBER, "<*>")).otherwise(text)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """Every line with words: its document, place, masked words and leaf."""
-    lines = docs.select("doc_id", _key().alias("key"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    words = F.regexp_extract_all("line", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    lines = lines.select("doc_id", "key", "place", words.alias("words"), F.col("line").rlike("[0-9]").alias("numbers"))
-    masked = F.when(
-        F.col("numbers"), F.transform("words", lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))
-    ).otherwise(F.col("words"))
-    lines = lines.filter(F.size("words") > 0).select("doc_id", "key", "place", masked.alias("words"))
-    return lines.withColumn("leaf", F.xxhash64(F.size("words"), F.slice("words", 1, DEPTH)))
-
-
-def _templates(lines: DataFrame) -> DataFrame:
+    """Every line with words, one space between words: its document, place and leaf."""
+    lines = docs.select("doc_id", _key().alias("key"), F.posexplode(F.split("text", "\n")).alias("place", "raw"))
+    spaced = F.when(F.col("raw").rlike(_ODD_SPACE), F.regexp_replace("raw", _SPACES, " ")).otherwise(F.col("raw"))
+    lines = lines.withColumn("text", F.trim(spaced)).drop("raw").filter("text != ''")
+    words = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1
+    return lines.withColumn("leaf", F.xxhash64(words, _masked(F.substring_index("text", " ", DEPTH))))
+
+
+def _filter_of(keys: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A test that holds for all keys of the table and for few others. Its bits are a
+    literal of fixed size, so rows are tested where they are read."""
+    cell = F.pmod(F.xxhash64(key), F.lit(_CELLS))
+    cells = keys.select(F.floor(cell / 8).cast("int").alias("byte"), (cell % 8).cast("int").alias("place"))
+    bits = bytearray(_CELLS // 8)
+    for row in cells.groupBy("byte").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("bits")).collect():
+        bits[row.byte] = row.bits
+    table = F.lit(bytes(bits))
+
+    def test(value: Column) -> Column:
+        at = F.pmod(F.xxhash64(value), F.lit(_CELLS))
+        byte = F.conv(F.hex(F.substring(table, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (at % 8).cast("int") + 1)) != 0
+
+    return test
+
+
+def _templates(docs: DataFrame, different: DataFrame) -> DataFrame:
     """The template (its hash) of each different line (its hash) of each leaf."""
-    # Documents before lines: a line many documents share is one row with their number.
-    lines = lines.withColumn("line", F.xxhash64("words"))
-    different = lines.groupBy("leaf", "line").agg(F.count_distinct("key").alias("docs"), F.first("words").alias("words"))
-    different = written(different, "different-lines")
-    words = different.select("leaf", "line", "docs", F.posexplode("words").alias("at", "word"))
-    several = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("leaf")
-    words = written(words.join(several, "leaf"), "line-words")
+    several = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("docs").alias("docs"))
+    several = written(several.filter("n > 1 and docs > 1").select("leaf"), "leaves")
+    lines = _lines(docs).filter(_filter_of(several, "leaf")(F.col("leaf"))).select("leaf", _masked(F.col("text")).alias("text"))
+    lines = lines.withColumn("line", F.xxhash64("text")).groupBy("leaf", "line").agg(F.first("text").alias("text"))
+    lines = lines.join(different, ["leaf", "line"]).join(several, "leaf")
+    words = lines.select("leaf", "line", "docs", F.posexplode(F.split("text", " ")).alias("at", "word"))
+    words = written(words, "line-words")
     fixed = words.groupBy("leaf", "at", "word").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= LEAST_DOCS)
     fixed = fixed.select("leaf", "at", "word", F.lit(True).alias("fixed"))
     marked = words.join(fixed, ["leaf", "at", "word"], "left").select(
@@ -62,20 +91,19 @@ def _templates(lines: DataFrame) -> DataFrame:
     general = marked.groupBy("leaf", "line").agg(
         F.xxhash64(F.sort_array(F.collect_list("w"))).alias("template"), (F.count("fixed") / F.count(F.lit(1))).alias("share")
     )
-    general = general.filter(F.col("share") >= LEAST_FIXED).select("leaf", "line", "template")
-    return different.select("leaf", "line").join(general, ["leaf", "line"], "left").select(
-        "leaf", "line", F.coalesce("template", "line").alias("template")
-    )
+    return general.filter(F.col("share") >= LEAST_FIXED).select("leaf", "line", "template")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """``key`` of each document that loses lines, and their places in ascending order."""
-    lines = _lines(docs)
-    shared = lines.groupBy("leaf").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a != b").select("leaf")
-    lines = written(lines.join(shared, "leaf"), "lines")
-    templates = written(_templates(lines), "templates")
-    lines = lines.select("leaf", F.xxhash64("words").alias("line"), "key", F.struct("doc_id", "key", "place").alias("at"))
-    lines = lines.join(templates, ["leaf", "line"]).drop("line")
+    lines = _lines(docs).withColumn("line", F.xxhash64(_masked(F.col("text")))).drop("text")
+    lines = written(lines, "lines")
+    # A line that many documents share is one row with their number.
+    different = lines.groupBy("leaf", "line").agg(F.count_distinct("key").alias("docs"))
+    templates = written(_templates(docs, different), "templates")
+    lines = lines.join(templates, ["leaf", "line"], "left").select(
+        "leaf", F.coalesce("template", "line").alias("template"), "key", F.struct("doc_id", "key", "place").alias("at")
+    )
     recurring = (
         lines.groupBy("leaf", "template")
         .agg(F.count_distinct("key").alias("docs"), F.min("at").alias("first"))
