@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parityscope.llm import line_dedup, ngram_join, packing, quality_rules, toxicity
+from parityscope.llm.arrow_columns import quoted
 from parityscope.llm.shared import written
 
 #: A document with a higher score than this is left out.
@@ -24,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     name = "toxicity_score"
     while name in docs.columns:
         name += "_"
-    return toxicity.with_scores(docs, model, name=name).filter(F.col(name) < TOXIC).select(docs.columns)
+    return toxicity.with_scores(docs, model, name=name).filter(F.col(name) < TOXIC).select(*map(quoted, docs.columns))
 
 
 def keep_usual(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,8 @@ def keep_usual(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines whose template an earlier document has shown."""
-    return line_dedup.drop_recurring_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    left = line_dedup.drop_recurring_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return left.select(*map(quoted, docs.columns))
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

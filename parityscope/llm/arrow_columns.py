@@ -40,16 +40,19 @@ def with_text_columns(
     default. A column of the table with the name of a field is replaced by it.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in fields]
-    source = docs.select(*map(quoted, kept), *[c for c in ("text",) if c not in kept])
-    schema = T.StructType([source.schema[c] for c in kept])
-    for name, kind in fields.items():
-        schema = schema.add(name, T.StructType.fromDDL(f"x {kind}")[0].dataType)
+    # Numbered on the way, as names may hold dots, which Python functions can't take.
+    sent = kept if "text" in kept else [*kept, "text"]
+    source = docs.select(*[F.col(quoted(c)).alias(f"kept_{i}") for i, c in enumerate(sent)])
+    schema = T.StructType(list(source.schema.fields[: len(kept)]))
+    text = f"kept_{sent.index('text')}"
+    for i, kind in enumerate(fields.values()):
+        schema = schema.add(f"added_{i}", T.StructType.fromDDL(f"x {kind}")[0].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for batch in batches:
-            for piece in slices(batch, "text"):
-                columns = [piece.column(i) for i in range(len(kept))] + function(Texts.of(piece.column("text")))
+            for piece in slices(batch, text):
+                columns = piece.columns[: len(kept)] + function(Texts.of(piece.column(text)))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*kept, *fields)

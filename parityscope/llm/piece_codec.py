@@ -263,7 +263,7 @@ class PieceEncoder:
         column = pc.replace_substring(pc.fill_null(column, ""), _SPACE_SIGN, " ")
         lead = pc.if_else(pc.equal(column, ""), "", " ")
         texts = Texts.of(pc.binary_join_element_wise(lead, column, ""))
-        data, begins = texts.data, texts._text_begins.copy()
+        data, begins = texts.data, texts.text_begins.copy()
         if len(begins):
             space, cut = data == 32, self._cut[data]
             begins[1:] |= (space[1:] & ~space[:-1]) | cut[1:] | cut[:-1]

@@ -81,19 +81,19 @@ class Texts:
         return len(self.offsets) - 1
 
     @cached_property
-    def _space(self) -> np.ndarray:
+    def space(self) -> np.ndarray:
         return _SPACE[self.data]
 
     @cached_property
     def word_starts(self) -> np.ndarray:
         """Byte position of the first byte of each word."""
-        begins = ~self._space
+        begins = ~self.space
         if len(begins):
-            begins[1:] &= self._space[:-1] | self._text_begins[1:]
+            begins[1:] &= self.space[:-1] | self.text_begins[1:]
         return np.flatnonzero(begins)
 
     @cached_property
-    def _text_begins(self) -> np.ndarray:
+    def text_begins(self) -> np.ndarray:
         begins = np.zeros(len(self.data), bool)
         begins[self.offsets[:-1][self.offsets[:-1] < len(self.data)]] = True
         return begins
@@ -111,7 +111,7 @@ class Texts:
         """For each word, how many of its bytes the table of 256 flags counts."""
         if not len(self.word_starts):
             return np.zeros(0, np.int64)
-        return np.add.reduceat((bytes_counted[self.data] & ~self._space).astype(np.int64), self.word_starts)
+        return np.add.reduceat((bytes_counted[self.data] & ~self.space).astype(np.int64), self.word_starts)
 
     def count_in_texts(self, bytes_counted: np.ndarray) -> np.ndarray:
         before = np.concatenate(([0], np.cumsum(bytes_counted[self.data], dtype=np.int64)))
@@ -160,7 +160,7 @@ class Texts:
             begins = np.concatenate(([0], np.cumsum(length[filled])[:-1]))
             place = np.arange(len(at)) - np.repeat(begins, length[filled])
             hashes[filled] = mix(np.add.reduceat(codes[self.data[at]] * _powers(int(length.max()))[place], begins))
-            has_word[filled] = np.add.reduceat((~self._space[at]).astype(np.int64), begins) > 0
+            has_word[filled] = np.add.reduceat((~self.space[at]).astype(np.int64), begins) > 0
         return hashes, docs, has_word
 
 

@@ -105,9 +105,9 @@ class ChunkEncoder:
 
     def encode(self, texts: Texts, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the offset of each text's first id; ``end_id`` closes each text."""
-        data, space = texts.data, texts._space
+        data, space = texts.data, texts.space
         special = any(s in data.tobytes() for s in self._special)
-        begins = texts._text_begins.copy()
+        begins = texts.text_begins.copy()
         if len(begins):
             begins[1:] |= space[1:] & ~space[:-1]
             if not special:
