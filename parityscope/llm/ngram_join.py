@@ -103,12 +103,13 @@ def run_counts(docs: DataFrame) -> np.ndarray:
         .mapInArrow(_count_cells, "block long, counts array<long>")
         .groupBy("block")
         .applyInArrow(_add_blocks, "block long, counts array<long>")
-        .collect()
+        .toArrow()
+        .combine_chunks()
     )
-    total = np.zeros(1 << CELL_BITS, np.int64)
-    for row in rows:
-        total[row.block * _BLOCK : (row.block + 1) * _BLOCK] = row.counts
-    return total
+    total = np.zeros((1 << CELL_BITS) // _BLOCK * _BLOCK, np.int64).reshape(-1, _BLOCK)
+    if rows.num_rows:
+        total[rows["block"].to_numpy()] = rows["counts"].combine_chunks().flatten().to_numpy().reshape(-1, _BLOCK)
+    return total.ravel()
 
 
 def _least_overlap(n: int) -> int:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -121,6 +122,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _logit(share: float) -> float:
+    return float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
+
+
 class _Sparse:
     """Rows of binary features."""
 
@@ -158,7 +163,7 @@ def fit_lists(table: pa.Table, share: float, penalty: float = PENALTY) -> Model:
     """Fit on rows of feature lists: ``features``, ``swapped``, ``named`` and ``label``."""
     table = table.combine_chunks()
     labels = table["label"].to_numpy()
-    model = Model(np.zeros(1 << BITS), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
+    model = Model(np.zeros(1 << BITS), _logit(share))
     if len(set(labels.tolist())) < 2:
         return model
     features = table["features"].combine_chunks()
@@ -189,10 +194,29 @@ def fit_lists(table: pa.Table, share: float, penalty: float = PENALTY) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, penalty: float = PENALTY) -> Model:
+    """Fit in one task, on the bounded sample; the driver gets the weights alone."""
     rows, share = fitting_rows(docs, labels, "toxic")
     fields = {"features": "array<int>", "swapped": "array<int>", "named": "boolean"}
-    table = with_text_columns(rows, fields, _pairs, keep=["doc_id", "label"]).orderBy("doc_id", "features").toArrow()
-    return fit_lists(table, share, penalty)
+    rows = with_text_columns(rows, fields, _pairs, keep=["doc_id", "label"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            model = fit_lists(pa.Table.from_batches(held), share, penalty)
+            features = np.flatnonzero(model.weights)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*features.tolist(), -1], pa.int64()), pa.array([*model.weights[features].tolist(), model.intercept])],
+                ["feature", "weight"],
+            )
+
+    learned = rows.repartition(1).sortWithinPartitions("doc_id", "features").mapInArrow(learn, "feature long, weight double")
+    model = Model(np.zeros(1 << BITS), _logit(share))
+    for row in learned.collect():  # SELECTED rows at most, and the intercept
+        if row.feature < 0:
+            model.intercept = row.weight
+        else:
+            model.weights[row.feature] = row.weight
+    return model
 
 
 def with_scores(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:
