@@ -37,21 +37,25 @@ def _key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-_ODD_SPACE = r"[\x09-\x0D]|\x20\x20"
+_ODD_SPACE = r"[\x09\x0B-\x0D]|\x20\x20"
 _SPACES = r"[\x20\x09-\x0D]+"
 _NUMBER = r"[^\x20]*[0-9][^\x20]*"
 
 
 def _masked(text: Column) -> Column:
-    """Words with a digit are variable fields; the regular expression runs only where one is."""
-    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, _NUMBER, "<*>")).otherwise(text)
+    """Words with a digit are variable fields; the regular expression runs only on lines of
+    documents that have one."""
+    return F.when(F.col("digits"), F.regexp_replace(text, _NUMBER, "<*>")).otherwise(text)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """Every line with words, one space between words: its document, place and leaf."""
-    lines = docs.select("doc_id", _key().alias("key"), F.posexplode(F.split("text", "\n")).alias("place", "raw"))
-    spaced = F.when(F.col("raw").rlike(_ODD_SPACE), F.regexp_replace("raw", _SPACES, " ")).otherwise(F.col("raw"))
-    lines = lines.withColumn("text", F.trim(spaced)).drop("raw").filter("text != ''")
+    facts = [_key().alias("key"), F.col("text").rlike("[0-9]").alias("digits"), F.col("text").rlike(_ODD_SPACE).alias("odd")]
+    lines = docs.select("doc_id", "text", *facts).select(
+        "doc_id", "key", "digits", "odd", F.posexplode(F.split("text", "\n")).alias("place", "raw")
+    )
+    spaced = F.when(F.col("odd"), F.regexp_replace("raw", _SPACES, " ")).otherwise(F.col("raw"))
+    lines = lines.withColumn("text", F.trim(spaced)).drop("raw", "odd").filter("text != ''")
     words = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1
     return lines.withColumn("leaf", F.xxhash64(words, _masked(F.substring_index("text", " ", DEPTH))))
 
@@ -96,7 +100,7 @@ def _templates(docs: DataFrame, different: DataFrame) -> DataFrame:
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """``key`` of each document that loses lines, and their places in ascending order."""
-    lines = _lines(docs).withColumn("line", F.xxhash64(_masked(F.col("text")))).drop("text")
+    lines = _lines(docs).withColumn("line", F.xxhash64(_masked(F.col("text")))).drop("text", "digits")
     lines = written(lines, "lines")
     # A line that many documents share is one row with their number.
     different = lines.groupBy("leaf", "line").agg(F.count_distinct("key").alias("docs"))
