@@ -61,10 +61,13 @@ _TO_LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 32
 
 def swap_terms(text: str, step: int = 1) -> str:
     """The text with every group name swapped for the one ``step`` places on of its kind,
-    never for itself. Steps that differ from text to text compare all names of a kind."""
+    never for itself. Steps that differ from text to text compare all names of a kind.
+    Letters of old prints, as the long s, count as those they stand for."""
 
     def other(match: re.Match) -> str:
-        kind, i = _KIND[match[0].lower()]
+        kind, i = _KIND.get(match[0].casefold(), ((), 0))
+        if not kind:  # a letter that matches without case, but has another lower-case form
+            return match[0]
         word = kind[(i + 1 + (step - 1) % (len(kind) - 1)) % len(kind)]
         return word.capitalize() if match[0][0].isupper() else word
 

@@ -128,6 +128,11 @@ def test_swapped_terms():
     assert toxicity.swap_terms("no such names, womenfolk") == "no such names, womenfolk"
 
 
+def test_swapped_terms_in_letters_of_old_prints():
+    assert toxicity.swap_terms("\u017fhe and the Mu\u017flim") == "he and the Christian"
+    assert toxicity.swap_terms("chr\u0130stian g\u0131rl blac\u212a") == "chr\u0130stian g\u0131rl white"
+
+
 def _fitted(penalty):
     """Labels that go with a group's name by accident, besides a truly toxic word."""
     draw = np.random.default_rng(5)
