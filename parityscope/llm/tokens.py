@@ -2,7 +2,8 @@
 
 Byte-level and word-end BPE split a text by a pattern before merging. A split always lies
 where a run of white space begins, and between a letter and a punctuation mark other
-than an apostrophe. So a text is cut there, the different chunks are encoded, and the ids
+than an apostrophe. Such a run may mix ASCII and other Unicode white space; it is cut
+at its first character if that is ASCII, and nowhere else. So a text is cut there, the different chunks are encoded, and the ids
 of the text are the ids of its chunks in order: the same ids as from encoding it whole.
 """
 
@@ -35,6 +36,27 @@ _MARK[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = T
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[9, 10, 13, *range(32, 127), 0xC3, *range(0x80, 0xC0)]] = True
 
+#: Characters that a pattern's ``\s`` may take besides ASCII, by their last three bytes
+#: (two, if they have no more).
+_WIDE_SPACES = np.array(
+    [
+        int.from_bytes(chr(c).encode())
+        for c in (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)
+    ]
+)
+
+
+def _space_runs(texts: Texts) -> np.ndarray:
+    """Bytes with which a run of white space begins, the first byte left out: ASCII spaces
+    that follow no space of any kind."""
+    data, space = texts.data, texts.space
+    runs = space[1:] & ~space[:-1]
+    before = np.flatnonzero(runs & (data[:-1] >= 0x80))
+    two = data[before - 1].astype(np.int64) << 8 | data[before]
+    three = data[np.maximum(before - 2, 0)].astype(np.int64) << 16 | two
+    runs[before[np.isin(two, _WIDE_SPACES) | np.isin(three, _WIDE_SPACES)]] = False
+    return runs
+
 
 def _byte_letters() -> dict[int, str]:
     """The printable character by which byte-level models write each byte."""
@@ -105,11 +127,11 @@ class ChunkEncoder:
 
     def encode(self, texts: Texts, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the offset of each text's first id; ``end_id`` closes each text."""
-        data, space = texts.data, texts.space
+        data = texts.data
         special = any(s in data.tobytes() for s in self._special)
         begins = texts.text_begins.copy()
         if len(begins):
-            begins[1:] |= space[1:] & ~space[:-1]
+            begins[1:] |= _space_runs(texts)
             if not special:
                 begins[1:] |= _MARK[data[1:]] & _LETTER[data[:-1]]
         starts = np.flatnonzero(begins)

@@ -49,6 +49,18 @@ def test_any_texts(encoder, texts):
     assert _lists(*encoder.encode(Texts.of(pa.array(texts, pa.string())))) == _library(encoder, texts)
 
 
+def test_runs_of_mixed_spaces(encoder):
+    texts = [f"a{' '.join(w * n)} b {w} c{w} \n{w}d {w}" for w in "\u00a0\u2003\u0085\u3000\u2028\u200b" for n in (1, 2, 4, 9)]
+    texts += ["a \u00a0 \u00a0 b", "\u00a0", " \u00a0", "\u00a0 x", "é \u00a0 é à ü"]
+    assert _lists(*encoder.encode(Texts.of(pa.array(texts)))) == _library(encoder, texts)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("a1, \n\u00a0\u2003\u0085\u3000é日"), max_size=30), max_size=5))
+def test_any_spaces(encoder, texts):
+    assert _lists(*encoder.encode(Texts.of(pa.array(texts, pa.string())))) == _library(encoder, texts)
+
+
 @settings(max_examples=60, deadline=None)
 @given(ANY)
 def test_pieces(texts):
