@@ -146,5 +146,37 @@ def test_packing_puts_neighbours_together():
     assert np.mean([len(t) == 1 for t in windows.values()]) > 0.5
 
 
+def test_neighbours_are_those_of_the_whole_corpus(draw):
+    """Lists of the seeds, from documents shown in parts, against all scores by all terms."""
+    ids = [draw.zipf(1.3, int(n)) % 3000 for n in draw.integers(1, 400, 300)]
+    offsets, flat = np.cumsum([0, *map(len, ids)]), np.concatenate(ids).astype("<u2")
+    idf = draw.random(3000) + 0.1
+    index = packing._Index(flat, offsets, idf, 200.0)
+    seeds = packing._Seeds(np.arange(20), flat[: offsets[20]], offsets[:21], 3000, 7)
+    for a in range(20, 300, 40):
+        at = offsets[a : a + 41]
+        seeds.show(np.arange(a, a + 40), *packing._weighted(flat[at[0] : at[-1]], at - at[0], idf, 200.0))
+    found = seeds.lists().to_pandas()
+    for seed in range(20):
+        scores = index.scores(seed)
+        rows = found[found.seed == seed].sort_values("rank").row
+        assert np.allclose(scores[rows], np.sort(scores[20:])[::-1][:7], rtol=1e-4)
+
+
+def test_packing_finds_neighbours_outside_a_shard(spark, docs_of, draw, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 20_000)
+    words = [a + b for a in ("sun", "moon", "star", "river", "stone", "tree") for b in ("light", "side", "fall", "land", "work")]
+    topics = draw.permutation(np.repeat(np.arange(30), 12))
+    texts = [" ".join(draw.permutation([words[t]] * 150 + list(draw.choice(["a", "of", "the", "in"], 200)))) for t in topics]
+    rows = packing.pack(docs_of(texts).repartition(3), WORD, 49_408, 2).collect()
+    _check_pieces(rows, dict(enumerate(x + [2] for x in _library(ChunkEncoder(WORD), texts))))
+    windows = {}
+    for r in rows:
+        windows.setdefault(r.sequence_id, []).append(topics[r.doc_id])
+    assert len({r.sequence_id >> 32 for r in rows}) > 4
+    shares = [np.bincount(t).max() / len(t) for t in windows.values() if len(t) > 4]
+    assert np.mean(shares) > 0.6
+
+
 def test_packing_of_nothing(docs_of):
     assert packing.pack(docs_of([]), WORD, 49_408, 2).count() == 0
