@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityscope.llm import ann, chat_format, line_dedup, ngram_join, packing, piece_codec, quality_model, quality_rules, token_files, toxicity
+from parityscope.llm import ann, chat_format, exact_search, lexical_search, line_dedup, ngram_join, packing, piece_codec, quality_model, quality_rules, token_files, toxicity
 from parityscope.llm.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,14 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.linked(_table(spark, folder, "documents"))
 
 
+def op11_exact_search(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_search.search(_table(spark, folder, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_ann,
@@ -92,9 +100,16 @@ def queries() -> dict[str, Query]:
         op8_quality_model,
         op9_packing,
         op10_ngram_join,
+        op11_exact_search,
+        op13_lexical_search,
     )
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": chat_format.ORACLE, "op3_line_dedup": line_dedup.ORACLE}
+    return {
+        "op2_chat_format": chat_format.ORACLE,
+        "op3_line_dedup": line_dedup.ORACLE,
+        "op11_exact_search": exact_search.ORACLE,
+        "op13_lexical_search": lexical_search.ORACLE,
+    }

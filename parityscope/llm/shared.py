@@ -10,10 +10,14 @@ import atexit
 import functools
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RELEASE_SECONDS = 5.0
+_released = 0.0
+
 
 @functools.cache
 def _own_folder() -> str:
@@ -46,11 +50,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table and return it as read again: its lineage ends here.
 
     Nothing needs the shuffle files behind it any more. Spark deletes them once the
-    driver has collected its garbage, which is asked for here: a small heap may not do
-    so for the whole job, whose disks would hold the shuffles of all its steps.
+    driver has collected its garbage, which is asked for here, though not more than once in
+    ``_RELEASE_SECONDS``: a small heap may not do so for the whole job, whose disks would
+    hold the shuffles of all its steps.
     """
+    global _released
     spark, schema = df.sparkSession, df.schema
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    spark._jvm.System.gc()
+    if time.monotonic() - _released > _RELEASE_SECONDS:
+        spark._jvm.System.gc()
+        _released = time.monotonic()
     return spark.read.schema(schema).parquet(path)
