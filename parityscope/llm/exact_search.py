@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parityscope.llm.shared import written
+from parityscope.llm.vectors import as_integers, matrix, most_frequent_length
 
 #: Cells of a dimension, at most 256.
 CELLS = 64
@@ -47,25 +48,6 @@ FIRST, GROWTH = 8_192, 16
 _CHUNK = 2_048
 
 
-def as_integers(vectors: DataFrame, scale: int, shift: int = 0) -> DataFrame:
-    """``vec_id`` and ``vec``, the integers ``floor(scale * x) + shift``, of usable vectors."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec"))
-    rows = rows.filter(F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf))))
-    return rows.withColumn("vec", F.transform("vec", lambda x: F.floor(scale * x).cast("long") + shift))
-
-
-def most_frequent_length(rows: DataFrame) -> int | None:
-    lengths = rows.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    first = lengths.orderBy(F.desc("n"), "dim").first()
-    return None if first is None else first.dim
-
-
-def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), len(flat) // max(len(column), 1))
-
-
 def _entries(rows: DataFrame, k: int) -> DataFrame:
     """Different vectors with their smallest id and their ``k`` smallest ids; a vector's
     rows are cut to those before the shuffle."""

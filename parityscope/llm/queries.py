@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityscope.llm import ann, chat_format, exact_search, lexical_search, line_dedup, ngram_join, packing, piece_codec, quality_model, quality_rules, token_files, toxicity
+from parityscope.llm import ann, chat_format, exact_search, lexical_search, line_dedup, ngram_join, packing, piece_codec, quality_model, quality_rules, token_files, toxicity, whitening
 from parityscope.llm.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,10 @@ def op11_exact_search(spark: SparkSession, folder: str) -> DataFrame:
     return exact_search.search(_table(spark, folder, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -101,6 +105,7 @@ def queries() -> dict[str, Query]:
         op9_packing,
         op10_ngram_join,
         op11_exact_search,
+        op12_whitening,
         op13_lexical_search,
     )
     return {query.__name__: query for query in found}
