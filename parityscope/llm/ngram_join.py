@@ -217,13 +217,14 @@ def _similar(sets: list[np.ndarray]) -> np.ndarray:
             break
         found = np.bincount(owner[pair] * n + owner[pair + step], minlength=n * n).reshape(n, n)
         shared += found + found.T
-    return 180 * shared.astype(np.int64) >= 80 * (sizes[:, None] + sizes)
+    similar = 180 * shared.astype(np.int64) >= 80 * (sizes[:, None] + sizes)
+    np.fill_diagonal(similar, True)
+    return similar
 
 
 def _joined(similar: np.ndarray) -> np.ndarray:
     """For each member of a block, the first member of its component."""
     label = np.arange(len(similar))
-    similar = similar | np.eye(len(similar), dtype=bool)
     while True:
         least = np.where(similar, label, len(label)).min(axis=1)
         least = least[least]
