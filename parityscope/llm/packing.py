@@ -1,20 +1,21 @@
 """Packing of documents into token windows, filled with lexical neighbours.
 
-Neighbours are sought in the whole corpus. One seed document for each window is drawn by
-a hash; every seed is compared, by all its terms, with every document that is left, and
-keeps the nearest by BM25. A document goes to the seed that ranks it first, and a seed
-with its documents to one shard. Documents that no seed has listed are dealt in further
-rounds, with seeds among them, until one shard holds the rest.
-
-A shard, of bounded size, holds a BM25 inverted index of its documents, with document
-frequencies of the whole corpus. Seeds first, a document asks the index for its nearest
-unused documents, which fill its window in order of their score; the one that does not fit
-is cut, and its rest stays for a later window. So all windows of a shard are full but the
-last, which is cut into sequences of a power of two, as these need no padding.
+The corpus is an inverted index in shards. Which shard a document belongs to depends on
+its contents: it asks a small BM25 index of ``LEADERS`` documents drawn by a hash, and the
+``PREFIX`` leaders that score highest, in order, are its place. Documents are sorted by
+their places, so those with the same leaders come together, and the sorted corpus is cut to
+shards of bounded size. The work grows in proportion to the corpus.
+
+A shard holds a BM25 inverted index of its documents, with document frequencies of the
+whole corpus. One document after the other is a seed: it asks the index, by all its terms,
+for its nearest unused documents, which fill its window in order of their score; the one
+that does not fit is cut, and its rest stays for a later window. So all windows of a shard are
+full but the last, which is cut into sequences of a power of two, as these need no padding.
 
 Defined results: a null text is empty; an empty text is its end id alone; repeated rows
-are packed as often as they occur; an empty table gives no pieces; documents longer than a
-window fill windows of their own first. Other columns are passed over.
+are packed as often as they occur; a null id is kept; an empty table gives no pieces;
+documents longer than a window fill windows of their own first, however long. Other
+columns are passed over.
 """
 
 from __future__ import annotations
@@ -25,29 +26,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.dataset as pads
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parityscope.llm.shared import shared_path, written
-from parityscope.llm.text_bytes import Texts, mix, slices
-from parityscope.llm.token_files import _file_system
+from parityscope.llm.shared import written
+from parityscope.llm.text_bytes import Texts, slices
 from parityscope.llm.tokens import ENCODE_BYTES, ChunkEncoder
 
 WINDOW = 4096
 #: Tokens of a shard, on average: what one task indexes and packs at a time.
-SHARD_TOKENS = 2_000_000
-#: Windows that the documents on a seed's list would fill, on average: more than one, as
-#: lists overlap.
-LISTED_WINDOWS = 4
-#: Seeds that one task compares with all documents, and places on their lists, at most.
-SEEDS_AT_A_TIME, LISTED_AT_A_TIME = 4096, 2_000_000
-#: Documents, and tokens of them, that are compared at a time; a longer document is alone.
-_DOCS_AT_A_TIME, _TOKENS_AT_A_TIME = 256, 100_000
-#: A term that a larger share of the seeds has is compared by a matrix product.
-_COMMON = 1 / 16
+SHARD_TOKENS = 8_000_000
+#: Documents that mark places in the corpus, and how many of them a document names.
+LEADERS, PREFIX = 64, 4
+_PLACES = [f"place_{i}" for i in range(PREFIX)]
+#: Tokens whose terms are counted at a time; a longer document is alone.
+_TOKENS_AT_A_TIME = 100_000
+#: A posting list that holds a larger share of the documents is a column of a matrix.
+_COMMON = 1 / 8
 _K1, _B = 1.2, 0.75
 #: Range of term ids whose document frequencies one row carries.
 _BLOCK = 4096
@@ -66,10 +63,10 @@ def _binary(ids: np.ndarray, offsets: np.ndarray, width: str) -> pa.Array:
 
 
 def _encode(path: str, end_id: int, width: str):
-    """Ids, with a number for each row and one that depends on its contents alone."""
+    """Ids, with a number for each row that depends on its contents alone."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = ChunkEncoder(path), TaskContext.get().partitionId() << 40
+        encoder = ChunkEncoder(path)
         for batch in batches:
             for piece in slices(batch, "text", ENCODE_BYTES):
                 ids, offsets = encoder.encode(Texts.of(piece.column("text")), end_id)
@@ -78,15 +75,13 @@ def _encode(path: str, end_id: int, width: str):
                 draw = [zlib.crc32(value.as_buffer(), zlib.crc32(str(doc).encode())) for doc, value in names]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(row, row + len(piece)), pa.int64()),
                         pa.array(draw, pa.int64()),
                         piece.column("doc_id"),
                         pa.array(np.diff(offsets), pa.int64()),
                         packed,
                     ],
-                    ["row", "draw", "doc_id", "n_tokens", "ids"],
+                    ["draw", "doc_id", "n_tokens", "ids"],
                 )
-                row += len(piece)
 
     return encode
 
@@ -152,160 +147,79 @@ def term_frequencies(tokens: DataFrame, n_terms: int) -> np.ndarray:
     return total[:n_terms]
 
 
+def _postings(ids: np.ndarray, offsets: np.ndarray, idf: np.ndarray, mean_length: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``_weighted``, in narrow types, made from a bounded number of tokens at a time."""
+    found, a = [(np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, np.float32))], 0
+    while a < len(offsets) - 1:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _TOKENS_AT_A_TIME, side="right")) - 1)
+        docs, terms, weights = _weighted(ids[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], idf, mean_length)
+        found.append(((docs + a).astype(np.int32), terms.astype(np.uint32), weights.astype(np.float32)))
+        a = b
+    docs, terms, weights = (np.concatenate(v) for v in zip(*found, strict=True))
+    return docs, terms, weights
+
+
 class _Index:
-    """BM25 over the documents of one shard."""
+    """BM25 over some documents. Posting lists that hold a large share of them are the
+    columns of a matrix, the others lists of documents and weights."""
 
     def __init__(self, ids: np.ndarray, offsets: np.ndarray, idf: np.ndarray, mean_length: float) -> None:
-        docs, terms, weights = _weighted(ids, offsets, idf, mean_length)
+        docs, terms, weights = _postings(ids, offsets, idf, mean_length)
         self._n = len(offsets) - 1
         self._doc_ends = np.searchsorted(docs, np.arange(self._n + 1))
         self._terms = terms
-        by_term = np.argsort(terms, kind="stable")
-        self._postings, self._values = docs[by_term], weights[by_term]
-        self._term_ends = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
-
-    def scores(self, doc: int) -> np.ndarray:
-        """Score of every document of the shard for all terms of one."""
-        terms = self._terms[self._doc_ends[doc] : self._doc_ends[doc + 1]]
-        spans = [slice(self._term_ends[t], self._term_ends[t + 1]) for t in terms]
-        found = np.concatenate([self._postings[s] for s in spans])
-        return np.bincount(found, np.concatenate([self._values[s] for s in spans]), self._n)
-
-
-class _Seeds:
-    """Some seeds and, for each, the nearest of the documents shown so far."""
-
-    def __init__(self, rows: np.ndarray, ids: np.ndarray, offsets: np.ndarray, n_terms: int, wanted: int) -> None:
-        self._rows, self._n, self._wanted = rows, len(rows), wanted
-        docs, terms, _ = _terms(ids, offsets, n_terms)
-        common = np.flatnonzero(np.bincount(terms, minlength=n_terms) > _COMMON * self._n)
-        self._column_of = np.full(n_terms, -1)
+        held = np.bincount(terms, minlength=len(idf))
+        common = np.flatnonzero(held > max(_COMMON * self._n, 1))
+        self._column_of = np.full(len(idf), -1, np.int32)
         self._column_of[common] = np.arange(len(common))
         columns = self._column_of[terms]
         self._common = np.zeros((len(common), self._n), np.float32)
-        self._common[columns[columns >= 0], docs[columns >= 0]] = 1
-        docs, terms = docs[columns < 0], terms[columns < 0]
+        self._common[columns[columns >= 0], docs[columns >= 0]] = weights[columns >= 0]
+        docs, terms, weights = (v[columns < 0] for v in (docs, terms, weights))
         by_term = np.argsort(terms, kind="stable")
-        self._postings, self._ends = docs[by_term], np.searchsorted(terms[by_term], np.arange(n_terms + 1))
-        self._least = np.zeros(self._n, np.float32)
-        self._near = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
-        self._held = 0
+        self._postings, self._values = docs[by_term], weights[by_term]
+        self._term_ends = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=len(idf)))))
 
-    def _scores(self, docs: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_docs: int) -> np.ndarray:
+    def scores(self, doc: int) -> np.ndarray:
+        """Score of every document for all terms of one."""
+        return self.asked(self._terms[self._doc_ends[doc] : self._doc_ends[doc + 1]])
+
+    def asked(self, terms: np.ndarray) -> np.ndarray:
         columns = self._column_of[terms]
-        common = columns >= 0
-        own = np.zeros((n_docs, len(self._common)), np.float32)
-        own[docs[common], columns[common]] = weights[common]
-        scores = own @ self._common
-        docs, terms, weights = docs[~common], terms[~common], weights[~common]
-        start, size = self._ends[terms], self._ends[terms + 1] - self._ends[terms]
+        wanted = np.zeros(len(self._common), np.float32)
+        wanted[columns[columns >= 0]] = 1
+        scores = wanted @ self._common
+        rare = terms[columns < 0]
+        start, size = self._term_ends[rare], self._term_ends[rare + 1] - self._term_ends[rare]
         at = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
-        cells = np.repeat(docs * self._n, size) + self._postings[at]
-        scores += np.bincount(cells, np.repeat(weights, size), n_docs * self._n).reshape(n_docs, self._n)
-        return scores
-
-    def show(self, rows: np.ndarray, docs: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
-        scores = self._scores(docs, terms, weights, len(rows))
-        doc, seed = np.nonzero(scores > self._least)
-        self._near.append((seed, rows[doc], scores[doc, seed]))
-        self._held += len(doc)
-        if self._held > 2 * self._wanted * self._n + 1_000_000:
-            self._prune()
-
-    def _prune(self) -> None:
-        seed, row, score = (np.concatenate(c) for c in zip(*self._near, strict=True))
-        tie = mix(row.astype(np.uint64) + mix(self._rows[seed].astype(np.uint64)))  # each seed of a group of copies takes others
-        order = np.lexsort((tie, -score, seed))
-        seed, row, score = seed[order], row[order], score[order]
-        rank = np.arange(len(seed)) - np.searchsorted(seed, seed)
-        full = rank == self._wanted - 1
-        self._least[seed[full]] = np.nextafter(score[full], np.float32(0))  # an equal score may still win
-        nearest = rank < self._wanted
-        self._near, self._held = [(seed[nearest], row[nearest], score[nearest])], int(nearest.sum())
-
-    def lists(self) -> pa.RecordBatch:
-        """Seed, document and its rank from 1, both by their rows."""
-        self._prune()
-        seed, row, _ = self._near[0]
-        rank = np.arange(len(seed)) - np.searchsorted(seed, seed) + 1
-        return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (self._rows[seed], row, rank)], ["seed", "row", "rank"])
-
-
-def _is_seed(draw: pa.Array, turn: int, rate: float) -> np.ndarray:
-    value = mix(draw.to_numpy(zero_copy_only=False).astype(np.uint64) + (np.uint64(turn + 1) << np.uint64(32)))
-    return (value >> np.uint64(11)).astype(np.float64) < rate * 2.0**53
-
-
-def _seeds(turn: int, rate: float):
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_is_seed(batch.column("draw"), turn, rate))).select(["row", "ids"])
+        return scores + np.bincount(self._postings[at], self._values[at], self._n)
+
 
-    return choose
+def _leaders(tokens: DataFrame) -> pa.Table:
+    """The documents of the smallest hashes: at most ``LEADERS`` rows. Of a long document the
+    first ``WINDOW`` ids stand for it, as it only marks a place."""
+    head = F.substring("ids", 1, 4 * WINDOW)
+    drawn = tokens.select(F.xxhash64("draw", F.lit(9)).alias("at"), "draw", "doc_id", head.alias("ids"))
+    return drawn.orderBy("at", "draw", "doc_id", "ids").limit(LEADERS).select("ids").toArrow()
 
 
-def _search(path: str, turn: int, rate: float, idf: np.ndarray, mean_length: float, wanted: int):
-    """The nearest of all documents in the folder, seeds left out, for each seed of a partition."""
+def _route(leaders: pa.Table, idf: np.ndarray, mean_length: float):
+    """The leaders that each document ranks first, in order."""
     width = _width(len(idf))
 
-    def cuts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ends, a = np.cumsum(batch.column("n_tokens").to_numpy()), 0
-        while a < len(batch):
-            limit = (ends[a - 1] if a else 0) + _TOKENS_AT_A_TIME
-            b = min(max(a + 1, int(np.searchsorted(ends, limit, side="right"))), a + _DOCS_AT_A_TIME)
-            yield batch.slice(a, b - a)
-            a = b
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        own = pa.Table.from_batches(held)
-        seeds = _Seeds(own["row"].to_numpy(), *_ids(own["ids"], width), len(idf), wanted)
-        store, root = _file_system(path)
-        scan = pads.dataset(root, filesystem=store, format="parquet").to_batches(
-            columns=["row", "draw", "n_tokens", "ids"], batch_size=1024, batch_readahead=1, fragment_readahead=1, use_threads=False
-        )
-        for batch in scan:
-            batch = batch.filter(pa.array(~_is_seed(batch.column("draw"), turn, rate)))
-            for piece in cuts(batch):
-                weighted = _weighted(*_ids(piece.column("ids"), width), idf, mean_length)
-                seeds.show(piece.column("row").to_numpy(), *weighted)
-        yield seeds.lists()
-
-    return search
-
-
-def _dealt(tokens: DataFrame, path: str, idf: np.ndarray, mean_length: float, window: int, shards: int) -> DataFrame:
-    """The shard of each row, and its rank on the list of its seed (0 for a seed)."""
-    spark, pool, parts = tokens.sparkSession, tokens.select("row", "draw", "n_tokens", "ids"), []
-    for turn in range(1 << 20):
-        n_docs, n_tokens, rests = pool.agg(
-            F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0)), F.sum(F.col("n_tokens") % window)
-        ).first()
-        if n_tokens <= SHARD_TOKENS or rests <= window:
-            break
-        rate = rests / window / n_docs
-        wanted = -(-LISTED_WINDOWS * window * n_docs // rests)
-        seeds = pool.select("row", "draw", "ids").mapInArrow(_seeds(turn, rate), "row long, ids binary")
-        at_a_time = min(SEEDS_AT_A_TIME, max(1, LISTED_AT_A_TIME // wanted))
-        n_tasks = max(2 * spark.sparkContext.defaultParallelism, -(-rests // window // at_a_time))
-        lists = seeds.repartition(n_tasks).mapInArrow(
-            _search(path, turn, rate, idf, mean_length, wanted), "seed long, row long, rank long"
-        )
-        lists = lists.groupBy("row").agg(F.min(F.struct("rank", F.xxhash64("seed"), "seed")).alias("best"))
-        own = seeds.select("row", F.lit(0).cast("long").alias("rank"), F.col("row").alias("seed"))
-        chosen = lists.select("row", "best.rank", "best.seed").unionByName(own)
-        chosen = chosen.select("row", F.pmod(F.xxhash64("seed"), F.lit(shards)).alias("shard"), "rank")
-        parts.append(written(chosen, f"dealt-{turn}"))
-        path = shared_path(spark, f"pool-{turn}")
-        pool.join(parts[-1], "row", "left_anti").write.option("compression", "zstd").parquet(path)
-        pool = spark.read.schema(pool.schema).parquet(path)
-    left = F.pmod(F.xxhash64("draw"), F.lit(max(1, round(n_tokens / SHARD_TOKENS)))) + shards
-    found = pool.select("row", left.alias("shard"), F.lit(0).cast("long").alias("rank"))
-    for part in parts:
-        found = found.unionByName(part)
-    return found
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _Index(*_ids(leaders["ids"], width), idf, mean_length)
+        for batch in batches:
+            near = np.zeros((batch.num_rows, PREFIX), np.int64)
+            ids, offsets = _ids(batch.column("ids"), width)
+            for i in range(batch.num_rows):
+                scores = index.asked(np.unique(ids[offsets[i] : offsets[i + 1]]))
+                first = np.argsort(-scores, kind="stable")[:PREFIX]
+                near[i, : len(first)] = first
+            places = [pa.array(c, pa.int64()) for c in near.T]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *places], [*batch.schema.names, *_PLACES])
+
+    return route
 
 
 def _fill(lengths: np.ndarray, index: _Index, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -349,45 +263,67 @@ def _fill(lengths: np.ndarray, index: _Index, window: int) -> list[tuple[int, in
     return pieces
 
 
-def _pack(idf: np.ndarray, mean_length: float, window: int):
-    def pack(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)).sort_by([(c, "ascending") for c in ("rank", "doc_id", "n_tokens")])
-        ids, offsets = _ids(table["ids"], _width(len(idf)))
-        lengths = np.diff(offsets)
-        pieces = np.array(_fill(lengths, _Index(ids, offsets, idf, mean_length), window), np.int64).reshape(-1, 5)
-        doc, start, length, sequence, offset = pieces.T
-        cut = [ids[a : a + n].astype("<u4").tobytes() for a, n in zip(offsets[doc] + start, length, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                table["doc_id"].take(pa.array(doc)).combine_chunks(),
-                *(pa.array(v, pa.int64()) for v in (start, length, lengths[doc], (key[0].as_py() << 32) + sequence, offset)),
-                pa.array(cut, pa.binary()),
-            ],
-            ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
-        )
+def _packed(table: pa.Table, idf: np.ndarray, mean_length: float, window: int, first: int) -> pa.RecordBatch:
+    """The pieces of one shard; its sequences are numbered from ``first`` on."""
+    ids, offsets = _ids(table["ids"], _width(len(idf)))
+    lengths = np.diff(offsets)
+    pieces = np.array(_fill(lengths, _Index(ids, offsets, idf, mean_length), window), np.int64).reshape(-1, 5)
+    doc, start, length, sequence, offset = pieces.T
+    cut = [ids[a : a + n].astype("<u4").tobytes() for a, n in zip(offsets[doc] + start, length, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [
+            table["doc_id"].take(pa.array(doc)).combine_chunks(),
+            *(pa.array(v, pa.int64()) for v in (start, length, lengths[doc], first + sequence, offset)),
+            pa.array(cut, pa.binary()),
+        ],
+        ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
+    )
+
+
+def _pack(idf: np.ndarray, mean_length: float, window: int, shard_tokens: int):
+    """Packs a partition's documents, which come in order of their leaders, shard by shard."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        held, size = [], 0
+        for batch in batches:
+            ends, a = np.cumsum(batch.column("n_tokens").to_numpy()), 0
+            while a < batch.num_rows:
+                before = int(ends[a - 1]) if a else 0
+                b = min(batch.num_rows, max(a + 1, int(np.searchsorted(ends, before + shard_tokens - size, side="right"))))
+                held.append(batch.slice(a, b - a))
+                size += int(ends[b - 1]) - before
+                a = b
+                if size >= shard_tokens:
+                    found = _packed(pa.Table.from_batches(held), idf, mean_length, window, number)
+                    number = found.column("sequence_id").to_numpy().max() + 1
+                    yield found
+                    held, size = [], 0
+        if held:
+            yield _packed(pa.Table.from_batches(held), idf, mean_length, window, number)
 
     return pack
 
 
 def pack(docs: DataFrame, tokenizer_path: str, n_terms: int, end_id: int, window: int = WINDOW) -> DataFrame:
     """Pieces of all documents, with their ids as little-endian 32-bit integers."""
-    spark, path = docs.sparkSession, shared_path(docs.sparkSession, "tokens")
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("row", "draw", "doc_id", "n_tokens")]).add("ids", "binary")
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("draw", "doc_id", "n_tokens")]).add("ids", "binary")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    encoded = docs.mapInArrow(_encode(tokenizer_path, end_id, _width(n_terms)), schema)
-    encoded.write.option("compression", "zstd").parquet(path)
-    tokens = spark.read.schema(schema).parquet(path)
+    tokens = written(docs.mapInArrow(_encode(tokenizer_path, end_id, _width(n_terms)), schema), "tokens")
     n_docs, n_tokens = tokens.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     df = term_frequencies(tokens, n_terms)
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
-    shards = max(1, round(n_tokens / SHARD_TOKENS))
     mean_length = n_tokens / max(n_docs, 1)
-    dealt = _dealt(tokens, path, idf, mean_length, window, shards)
+    for place in _PLACES:
+        schema = schema.add(place, "long")
+    shards = max(1, round(n_tokens / SHARD_TOKENS))
+    if shards > 1:
+        tokens = written(tokens.mapInArrow(_route(_leaders(tokens), idf, mean_length), schema), "routed")
+    else:
+        tokens = tokens.withColumns({place: F.lit(0).cast("long") for place in _PLACES})
+    # Equal documents have equal leaders; the hash deals a large group to several partitions.
+    order = [*_PLACES, "draw", "doc_id", "ids"]
+    dealt = tokens.repartitionByRange(shards, *_PLACES, "draw").sortWithinPartitions(*order)
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")])
-    return (
-        tokens.drop("draw")
-        .join(dealt, "row")
-        .drop("row")
-        .groupBy("shard")
-        .applyInArrow(_pack(idf, mean_length, window), schema.add("ids", "binary"))
-    )
+    packed = _pack(idf, mean_length, window, SHARD_TOKENS * 5 // 4)
+    return dealt.select("doc_id", "n_tokens", "ids").mapInArrow(packed, schema.add("ids", "binary"))

@@ -146,21 +146,19 @@ def test_packing_puts_neighbours_together():
     assert np.mean([len(t) == 1 for t in windows.values()]) > 0.5
 
 
-def test_neighbours_are_those_of_the_whole_corpus(draw):
-    """Lists of the seeds, from documents shown in parts, against all scores by all terms."""
-    ids = [draw.zipf(1.3, int(n)) % 3000 for n in draw.integers(1, 400, 300)]
+def test_index_scores_are_those_of_brute_force(draw):
+    """Scores by lists and by the matrix of common terms, against BM25 written out."""
+    ids = [draw.zipf(1.3, int(n)) % 3000 for n in draw.integers(1, 400, 120)]
     offsets, flat = np.cumsum([0, *map(len, ids)]), np.concatenate(ids).astype("<u2")
     idf = draw.random(3000) + 0.1
     index = packing._Index(flat, offsets, idf, 200.0)
-    seeds = packing._Seeds(np.arange(20), flat[: offsets[20]], offsets[:21], 3000, 7)
-    for a in range(20, 300, 40):
-        at = offsets[a : a + 41]
-        seeds.show(np.arange(a, a + 40), *packing._weighted(flat[at[0] : at[-1]], at - at[0], idf, 200.0))
-    found = seeds.lists().to_pandas()
-    for seed in range(20):
-        scores = index.scores(seed)
-        rows = found[found.seed == seed].sort_values("rank").row
-        assert np.allclose(scores[rows], np.sort(scores[20:])[::-1][:7], rtol=1e-4)
+    for seed in range(0, 120, 7):
+        want = np.zeros(120)
+        for doc, own in enumerate(ids):
+            for term in set(own.tolist()) & set(ids[seed].tolist()):
+                tf = int((own == term).sum())
+                want[doc] += idf[term] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(own) / 200))
+        assert np.allclose(index.scores(seed), want, rtol=1e-4)
 
 
 def test_packing_finds_neighbours_outside_a_shard(spark, docs_of, draw, monkeypatch):
@@ -178,5 +176,13 @@ def test_packing_finds_neighbours_outside_a_shard(spark, docs_of, draw, monkeypa
     assert np.mean(shares) > 0.6
 
 
+def test_packing_rows_without_id_and_copies(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 3_000)
+    text = " ".join(["river", "stone"] * 300)
+    docs = docs_of([text] * 40).unionAll(spark.createDataFrame([(None, "a b c")], "doc_id long, text string"))
+    rows = packing.pack(docs, WORD, 49_408, 2).collect()
+    _check_pieces(rows, {i: x + [2] for i, x in zip([*range(40), None], _library(ChunkEncoder(WORD), [text] * 40 + ["a b c"]), strict=True)})
+
+
 def test_packing_of_nothing(docs_of):
     assert packing.pack(docs_of([]), WORD, 49_408, 2).count() == 0
