@@ -10,7 +10,8 @@ together gives just these two, so the path to a chunk's end is the model's own e
 
 Characters that the vocabulary lacks are written as byte pieces. Decoding joins the pieces.
 
-Defined results: a null or empty text has no ids and is decoded as empty; the model's own
+Defined results: a null or empty text has no ids and is decoded as empty; a long text is
+encoded whole, in a slice of its own; the model's own
 space sign in a text is read as a space, as the model does; repeated rows are encoded as
 often as they occur; an empty table gives no rows; other columns are passed over.
 """
@@ -28,8 +29,9 @@ from sentencepiece import SentencePieceProcessor
 
 from parityscope.llm.text_bytes import Texts, slices
 
-#: Bytes of text encoded at a time; a longer document is encoded alone.
-ENCODE_BYTES = 4 << 20
+#: Bytes of text encoded at a time; a longer document is encoded alone. The suffix array of
+#: a slice's different chunks takes some hundred times their bytes.
+ENCODE_BYTES = 1 << 20
 #: Different chunks that a task remembers at most; then its memory starts anew.
 _REMEMBERED = 400_000
 _SPACE_SIGN = "▁"
@@ -53,12 +55,6 @@ class PieceTable:
         self.ends_chunk = {c for c in "\n\t" if c not in set(self.pieces[: len(chars)])}
         self._pair_up(len(chars))
         self.length = np.array([len(p) for p in self.pieces], np.int64)
-        decoded = [b""] * len(names)
-        for i, piece in zip(self.ids, self.pieces, strict=True):
-            decoded[i] = piece.encode()
-        for b, i in enumerate(self.byte_ids):
-            decoded[i] = bytes([b])
-        self.decoded = pa.array(decoded, pa.large_binary())
 
     def _pair_up(self, n_chars: int) -> None:
         """For each merge the two pieces that it joins, by merging its text in order."""
@@ -293,17 +289,32 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
 
 
+def _spellings(path: str) -> pa.LargeBinaryArray:
+    """The bytes that each id stands for; none for control signs."""
+    model = SentencePieceProcessor(model_file=path)
+    spelt = []
+    for i in range(model.get_piece_size()):
+        name = model.id_to_piece(i)
+        if model.is_byte(i):
+            spelt.append(bytes([int(name[3:5], 16)]))
+        elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+            spelt.append(b"")
+        else:
+            spelt.append(name.replace(_SPACE_SIGN, " ").encode())
+    return pa.array(spelt, pa.large_binary())
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The encoded rows and the ``text`` that their ids spell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(path)
+        spellings = _spellings(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = []
                 for ids in part.column("ids").to_pylist():
-                    spelt = table.decoded.take(pa.array(np.frombuffer(ids, "<i4")))
+                    spelt = spellings.take(pa.array(np.frombuffer(ids, "<i4")))
                     texts.append(Texts.of_bytes(spelt).removeprefix(b" ").decode(errors="replace"))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "text"])
 
