@@ -1,25 +1,34 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
 A line's words lead it to a leaf of a tree of fixed depth: first their number, then the
-``DEPTH`` leading words, those with a digit as ``<*>``. Inside a leaf, a word that at least
-``LEAST_DOCS`` documents have at its place belongs to the template, any other is a
-variable field, ``<*>``. A line of whose places fewer than ``LEAST_FIXED`` are fixed keeps
-its own words as its template, so lines with little in common never share one. Templates
-that recur, in ``LEAST_DOCS`` documents or more, are dropped from all documents but the
-first that shows them, where their first line stays.
-
-Templates and counts are aggregates per leaf, place and word, so a leaf, line or document
-may hold any share of the rows.
+``DEPTH`` leading words, with ``<*>`` for every run of digits. Inside a leaf, a word is
+fixed if it has no digit and ``LEAST_DOCS`` lines of documents have it at its place; any
+other is a variable field. A line of whose words at least ``LEAST_FIXED`` are fixed has
+the leaf's general template: its fixed words, words with digits if ``LEAST_DOCS`` lines
+agree in the rest of them, and ``<*>`` elsewhere. Any line has itself, word for word, as a
+template without variable fields.
+
+A template recurs if several documents show it: two if it has no variable fields,
+``LEAST_DOCS`` if it is general. A line of a recurring template is dropped, but for the
+first line of the first document that shows it. So of lines that are alike one always
+stays, and lines that share little, like two rows of numbers, are never one template.
+
+Counts are aggregates per line, leaf, place and word, so a leaf, line or document may hold
+any share of the rows. Lines are compared by two independent 64-bit hashes, documents by
+their id and a hash.
 
 Defined results: a null text stays null; lines without words stay; rows of one id and text
-are one document, and a null id is the smallest; an empty table gives no rows; other
-columns are kept as they are.
+are one document, whose lines count as often as its rows for fixed words; a null id is
+the smallest; a document may lose all its lines and
+stays with an empty text; long texts and lines are treated whole; an empty table gives
+no rows; other columns are kept as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,25 +36,26 @@ from parityscope.llm.arrow_columns import aside
 from parityscope.llm.shared import written
 
 DEPTH = 3
+#: Documents that a general template needs; lines that a fixed word needs.
 LEAST_DOCS = 3
 LEAST_FIXED = 0.7
-#: Bits of a filter: at most an eighth of as many numbers reach the driver.
-_CELLS = 1 << 20
+#: Bits of a filter, for each key and at most: it spares most rows without a match a
+#: shuffle, and the join behind it decides.
+_BITS_PER_KEY, _LEAST_BITS, _MOST_BITS = 16, 1 << 16, 1 << 24
+
+_ODD_SPACE = r"[\x09\x0B-\x0D]|\x20\x20"
+_SPACES = r"[\x20\x09-\x0D]+"
+_LINE = ["line", "line_2"]
 
 
 def _key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-_ODD_SPACE = r"[\x09\x0B-\x0D]|\x20\x20"
-_SPACES = r"[\x20\x09-\x0D]+"
-_NUMBER = r"[^\x20]*[0-9][^\x20]*"
-
-
 def _masked(text: Column) -> Column:
-    """Words with a digit are variable fields; the regular expression runs only on lines of
-    documents that have one."""
-    return F.when(F.col("digits"), F.regexp_replace(text, _NUMBER, "<*>")).otherwise(text)
+    """Runs of digits are ``<*>``; the regular expression runs only on lines of documents
+    that have one."""
+    return F.when(F.col("digits"), F.regexp_replace(text, "[0-9]+", "<*>")).otherwise(text)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -57,73 +67,86 @@ def _lines(docs: DataFrame) -> DataFrame:
     spaced = F.when(F.col("odd"), F.regexp_replace("raw", _SPACES, " ")).otherwise(F.col("raw"))
     lines = lines.withColumn("text", F.trim(spaced)).drop("raw", "odd").filter("text != ''")
     words = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1
-    return lines.withColumn("leaf", F.xxhash64(words, _masked(F.substring_index("text", " ", DEPTH))))
+    leaf = F.xxhash64(words, _masked(F.substring_index("text", " ", DEPTH)))
+    return lines.withColumns({"leaf": leaf, "line": F.xxhash64("text"), "line_2": F.xxhash64(F.lit(1), "text")})
 
 
 def _filter_of(keys: DataFrame, key: str) -> Callable[[Column], Column]:
     """A test that holds for all keys of the table and for few others. Its bits are a
-    literal of fixed size, so rows are tested where they are read."""
-    cell = F.pmod(F.xxhash64(key), F.lit(_CELLS))
+    literal of bounded size, so rows are tested where they are read."""
+    size = _LEAST_BITS
+    wanted = _BITS_PER_KEY * keys.count()
+    while size < min(wanted, _MOST_BITS):
+        size *= 2
+    cell = F.pmod(F.xxhash64(key), F.lit(size))
     cells = keys.select(F.floor(cell / 8).cast("int").alias("byte"), (cell % 8).cast("int").alias("place"))
-    bits = bytearray(_CELLS // 8)
-    for row in cells.groupBy("byte").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("bits")).collect():
-        bits[row.byte] = row.bits
-    table = F.lit(bytes(bits))
+    found = cells.groupBy("byte").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("bits")).toArrow()
+    bits = np.zeros(size // 8, np.uint8)
+    bits[found["byte"].to_numpy()] = found["bits"].to_numpy()
+    table = F.lit(bits.tobytes())
 
     def test(value: Column) -> Column:
-        at = F.pmod(F.xxhash64(value), F.lit(_CELLS))
+        at = F.pmod(F.xxhash64(value), F.lit(size))
         byte = F.conv(F.hex(F.substring(table, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (at % 8).cast("int") + 1)) != 0
 
     return test
 
 
-def _templates(docs: DataFrame, different: DataFrame) -> DataFrame:
-    """The template (its hash) of each different line (its hash) of each leaf."""
-    several = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("docs").alias("docs"))
-    several = written(several.filter("n > 1 and docs > 1").select("leaf"), "leaves")
-    lines = _lines(docs).filter(_filter_of(several, "leaf")(F.col("leaf"))).select("leaf", _masked(F.col("text")).alias("text"))
-    lines = lines.withColumn("line", F.xxhash64("text")).groupBy("leaf", "line").agg(F.first("text").alias("text"))
-    lines = lines.join(different, ["leaf", "line"]).join(several, "leaf")
-    words = lines.select("leaf", "line", "docs", F.posexplode(F.split("text", " ")).alias("at", "word"))
+def _general(docs: DataFrame, different: DataFrame) -> DataFrame:
+    """The general template (two hashes) of each different line that has one."""
+    # A fixed word needs LEAST_DOCS lines in its leaf, and a general template two different ones.
+    leaves = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines"), F.sum("n").alias("n"))
+    leaves = written(leaves.filter(f"lines > 1 and n >= {LEAST_DOCS}").select("leaf"), "leaves")
+    lines = _lines(docs).filter(_filter_of(leaves, "leaf")(F.col("leaf")))
+    texts = lines.groupBy("leaf", *_LINE).agg(F.first("text").alias("text"), F.first("digits").alias("digits"), F.count(F.lit(1)).alias("n"))
+    texts = texts.join(leaves, "leaf")
+    pairs = F.arrays_zip(F.split("text", " ").alias("own"), F.split(_masked(F.col("text")), " ").alias("word"))
+    words = texts.select("leaf", *_LINE, "n", F.posexplode(pairs).alias("at", "w"))
+    words = words.select("leaf", *_LINE, "n", "at", F.col("w.word").alias("word"), (F.col("w.own") == F.col("w.word")).alias("plain"))
     words = written(words, "line-words")
-    fixed = words.groupBy("leaf", "at", "word").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= LEAST_DOCS)
-    fixed = fixed.select("leaf", "at", "word", F.lit(True).alias("fixed"))
-    marked = words.join(fixed, ["leaf", "at", "word"], "left").select(
-        "leaf", "line", F.struct("at", F.when(F.col("fixed"), F.col("word")).otherwise("<*>").alias("word")).alias("w"), "fixed"
-    )
-    general = marked.groupBy("leaf", "line").agg(
-        F.xxhash64(F.sort_array(F.collect_list("w"))).alias("template"), (F.count("fixed") / F.count(F.lit(1))).alias("share")
+    shared = words.groupBy("leaf", "at", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_DOCS)
+    marked = words.join(shared.select("leaf", "at", "word", F.lit(True).alias("shared")), ["leaf", "at", "word"], "left").select(
+        "leaf", *_LINE, F.struct("at", F.when(F.col("shared"), F.col("word")).otherwise("<*>").alias("word")).alias("w"),
+        (F.coalesce("shared", F.lit(False)) & F.col("plain")).alias("fixed"),
+    )
+    whole = F.sort_array(F.collect_list("w"))
+    general = marked.groupBy("leaf", *_LINE).agg(whole.alias("words"), (F.count_if("fixed") / F.count(F.lit(1))).alias("share"))
+    return general.filter(F.col("share") >= LEAST_FIXED).select(
+        "leaf", *_LINE, F.xxhash64("words").alias("template"), F.xxhash64(F.lit(1), "words").alias("template_2")
     )
-    return general.filter(F.col("share") >= LEAST_FIXED).select("leaf", "line", "template")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
-    """``key`` of each document that loses lines, and their places in ascending order."""
-    lines = _lines(docs).withColumn("line", F.xxhash64(_masked(F.col("text")))).drop("text", "digits")
-    lines = written(lines, "lines")
-    # A line that many documents share is one row with their number.
-    different = lines.groupBy("leaf", "line").agg(F.count_distinct("key").alias("docs"))
-    templates = written(_templates(docs, different), "templates")
-    lines = lines.join(templates, ["leaf", "line"], "left").select(
-        "leaf", F.coalesce("template", "line").alias("template"), "key", F.struct("doc_id", "key", "place").alias("at")
-    )
-    recurring = (
-        lines.groupBy("leaf", "template")
-        .agg(F.count_distinct("key").alias("docs"), F.min("at").alias("first"))
-        .filter(F.col("docs") >= LEAST_DOCS)
-        .select("leaf", "template", "first")
-    )
-    lost = lines.join(recurring, ["leaf", "template"]).filter("not (at <=> first)")
-    return lost.groupBy("key").agg(F.array_sort(F.collect_set("at.place")).alias("places"))
+    """``doc_id`` and ``key`` of each document that loses lines, and their places in ascending order."""
+    lines = written(_lines(docs).drop("text", "digits"), "lines")
+    # A line that many documents share is one row, combined before the shuffle.
+    different = lines.groupBy("leaf", *_LINE).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    different = written(different, "different-lines")
+    exact = written(different.filter("low != high").select(*_LINE), "recurring-lines")
+    at = F.struct("doc_id", "key", "place")
+
+    def lost(found: DataFrame, template: list[str], least: int) -> DataFrame:
+        """Lines of templates that at least so many documents show, but for each first one."""
+        firsts = found.groupBy(*template).agg(F.min(at).alias("first"), *([F.count_distinct("key").alias("docs")] if least > 2 else []))
+        if least > 2:  # two are known already
+            firsts = firsts.filter(F.col("docs") >= least)
+        return found.join(firsts.select(*template, "first"), template).filter(~at.eqNullSafe(F.col("first"))).select("doc_id", "key", "place")
+
+    own = lines.filter(_filter_of(exact, "line")(F.col("line"))).join(exact, _LINE)
+    general = written(_general(docs, different), "templates")
+    alike = lines.filter(_filter_of(general, "line")(F.col("line"))).join(general, ["leaf", *_LINE])
+    both = lost(own, _LINE, 2).unionAll(lost(alike, ["leaf", "template", "template_2"], LEAST_DOCS))
+    return both.groupBy("doc_id", "key").agg(F.array_sort(F.collect_set("place")).alias("places"))
 
 
 def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     """The documents without their recurring lines, with ``n_dropped_lines`` added unless
     they have such a column."""
     docs, restore = aside(docs, ("doc_id", "text"))
-    lost = written(dropped_lines(docs).withColumnRenamed("key", "lost_key"), "lost-lines")
-    found = docs.withColumn("own_key", _key()).join(lost, F.col("own_key") == F.col("lost_key"), "left")
+    lost = written(dropped_lines(docs).toDF("lost_id", "lost_key", "places"), "lost-lines")
+    same = (F.col("own_key") == F.col("lost_key")) & F.col("doc_id").eqNullSafe(F.col("lost_id"))
+    found = docs.withColumn("own_key", _key()).join(lost, same, "left")
     found = found.withColumn("own_lines", F.split("text", "\n"))
 
     def between(i: Column) -> Column:
@@ -139,37 +162,38 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
 
 
 ORACLE = r"""
-WITH docs AS (SELECT DISTINCT doc_id, text FROM documents),
+WITH docs AS (SELECT doc_id, text, count(*) AS copies FROM documents GROUP BY doc_id, text),
 lines AS (
-    SELECT doc_id, text AS whole, unnest(string_split(text, chr(10))) AS line,
+    SELECT doc_id, text AS whole, copies, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) AS place
     FROM docs
 ), worded AS (
-    SELECT doc_id, whole, place, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
-        lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS words
+    SELECT doc_id, whole, copies, place, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS own,
+        list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda w: regexp_replace(w, '[0-9]+', '<*>', 'g')) AS words
     FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), leaves AS (SELECT *, (len(words), words[1:3]) AS leaf FROM worded),
-different AS (
-    SELECT leaf, words, count(DISTINCT (doc_id, whole)) AS docs FROM leaves GROUP BY ALL
-), words_at AS (
-    SELECT leaf, words, docs, unnest(words) AS word, generate_subscripts(words, 1) AS spot FROM different
-), fixed AS (
-    SELECT leaf, spot, word FROM words_at GROUP BY ALL HAVING sum(docs) >= 3
+words_at AS (
+    SELECT doc_id, whole, copies, place, leaf, unnest(words) AS word, unnest(own) AS own_word, generate_subscripts(words, 1) AS spot FROM leaves
+), shared AS (
+    SELECT leaf, spot, word FROM words_at GROUP BY leaf, spot, word HAVING sum(copies) >= 3
+), marked AS (
+    SELECT w.*, s.word IS NOT NULL AS shared FROM words_at w LEFT JOIN shared s ON w.leaf = s.leaf AND w.spot = s.spot AND w.word = s.word
 ), general AS (
-    SELECT w.leaf, w.words, list(CASE WHEN f.word IS NULL THEN '<*>' ELSE w.word END ORDER BY w.spot) AS template,
-        count(f.word) / count(*) AS share
-    FROM words_at w LEFT JOIN fixed f ON w.leaf = f.leaf AND w.spot = f.spot AND w.word = f.word GROUP BY w.leaf, w.words
-), single AS (SELECT leaf, count(*) = 1 AS alone FROM different GROUP BY leaf),
-named AS (
-    SELECT l.doc_id, l.whole, l.place, l.leaf,
-        CASE WHEN s.alone OR g.share < 0.7 THEN (1, l.words) ELSE (2, g.template) END AS template
-    FROM leaves l JOIN general g ON l.leaf = g.leaf AND l.words = g.words JOIN single s ON s.leaf = l.leaf
-), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY leaf, template ORDER BY doc_id NULLS FIRST, place) AS nth FROM named
-), recurring AS (
-    SELECT leaf, template FROM named GROUP BY ALL HAVING count(DISTINCT (doc_id, whole)) >= 3
+    SELECT doc_id, whole, place, leaf, list(CASE WHEN shared THEN word ELSE '<*>' END ORDER BY spot) AS template
+    FROM marked GROUP BY doc_id, whole, place, leaf
+    HAVING count(*) FILTER (shared AND own_word = word) / count(*)::DOUBLE >= 0.7
+), own_ranks AS (
+    SELECT doc_id, whole, place, own, row_number() OVER (PARTITION BY own ORDER BY doc_id NULLS FIRST, place) AS nth FROM leaves
+), own_lost AS (
+    SELECT doc_id, whole, place FROM own_ranks WHERE nth > 1 AND own IN (SELECT own FROM leaves GROUP BY own HAVING count(DISTINCT (doc_id, whole)) >= 2)
+), general_ranks AS (
+    SELECT *, row_number() OVER (PARTITION BY leaf, template ORDER BY doc_id NULLS FIRST, place) AS nth FROM general
+), general_lost AS (
+    SELECT doc_id, whole, place FROM general_ranks JOIN (
+        SELECT leaf, template FROM general GROUP BY ALL HAVING count(DISTINCT (doc_id, whole)) >= 3
+    ) USING (leaf, template) WHERE nth > 1
 ), lost AS (
-    SELECT DISTINCT r.doc_id, r.whole, r.place FROM ranked r JOIN recurring c ON r.leaf = c.leaf AND r.template = c.template WHERE nth > 1
+    SELECT * FROM own_lost UNION SELECT * FROM general_lost
 ), kept AS (
     SELECT l.doc_id, l.whole, coalesce(string_agg(l.line, chr(10) ORDER BY l.place) FILTER (x.place IS NULL), '') AS text,
         count(x.place) AS n_dropped_lines

@@ -2,7 +2,7 @@
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from parityscope.llm import chat_format, line_dedup
 
@@ -53,64 +53,85 @@ def test_no_conversations(spark):
     assert chat_format.digests(chat_format.format_conversations(_turns(spark, []))).count() == 0
 
 
-def _brute_lines(docs):
-    """Template and document of every line, then what is left of each text."""
+def _brute_lines(rows):
+    """What is left of each text, by the rule: lines are compared word for word, and by the
+    general template of their leaf if enough of their words are fixed there."""
+    docs = sorted(set(rows), key=lambda d: (d[0] is not None, d[0] or 0, d[1] or ""))
     lines = []
-    for key in sorted(set(docs), key=lambda d: (d[0] is not None, d[0] or 0, d[1] or "")):
-        for place, line in enumerate((key[1] or "").split("\n") if key[1] is not None else []):
-            words = tuple("<*>" if re.search("[0-9]", w) else w for w in re.findall(r"[^\x20\x09-\x0D]+", line))
-            if words:
-                lines.append((key, place, words, (len(words), words[:3])))
-    at = defaultdict(set)
-    for key, _, words, leaf in lines:
-        for i, w in enumerate(words):
-            at[leaf, i, w].add((key, words))
-    alone = defaultdict(set)
-    for _, _, words, leaf in lines:
-        alone[leaf].add(words)
-
-    def template(words, leaf):
-        if len(alone[leaf]) == 1:
-            return words
-        fixed = [len(at[leaf, i, w]) >= 3 for i, w in enumerate(words)]
-        return words if sum(fixed) < 0.7 * len(words) else ("general", *(w if f else "<*>" for w, f in zip(words, fixed, strict=True)))
-
-    shown, lost = defaultdict(list), defaultdict(set)
-    for key, place, words, leaf in lines:
-        shown[leaf, template(words, leaf)].append((key, place))
-    for places in shown.values():
-        if len({k for k, _ in places}) >= 3:
-            for key, place in places[1:]:
-                lost[key].add(place)
+    for doc in docs:
+        for place, line in enumerate(doc[1].split("\n") if doc[1] is not None else []):
+            own = tuple(re.findall(r"[^\x20\x09-\x0D]+", line))
+            if own:
+                lines.append((doc, place, own, tuple(re.sub("[0-9]+", "<*>", w) for w in own)))
+    held = Counter()
+    for doc, _, _, words in lines:
+        held.update({(len(words), words[:3], i, w): rows.count(doc) for i, w in enumerate(words)})
+    shown = defaultdict(list)
+    for doc, place, own, words in lines:
+        shown["own", own].append((doc, place))
+        known = [held[len(words), words[:3], i, w] >= 3 for i, w in enumerate(words)]
+        if sum(k and w == o for k, w, o in zip(known, words, own, strict=True)) >= 0.7 * len(words):
+            shown["general", words[:3], *(w if k else "<*>" for k, w in zip(known, words, strict=True))].append((doc, place))
+    lost = defaultdict(set)
+    for template, places in shown.items():
+        if len({doc for doc, _ in places}) >= (2 if template[0] == "own" else 3):
+            for doc, place in places[1:]:
+                lost[doc].add(place)
     left = {}
-    for key in docs:
-        kept = [x for i, x in enumerate((key[1] or "").split("\n")) if i not in lost[key]]
-        left[key] = (None if key[1] is None else "\n".join(kept), len(lost[key]))
+    for doc in docs:
+        kept = [x for i, x in enumerate((doc[1] or "").split("\n")) if i not in lost[doc]]
+        left[doc] = (None if doc[1] is None else "\n".join(kept), len(lost[doc]))
     return left
 
 
+LONG = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+#: Text and what is left of it.
 TEXTS = [
-    "Page 1 of 9\nred sea and blue sky\nunlike all others here", "Page 2 of 9\nred sea and blue sky\n\nother", "Page 33 of 9\nred sea and blue sky",
-    "all words of this line are the same but alpha", "all words of this line are the same but beta", "all words of this line are the same but gamma",
-    "one two three four five", "one two three six seven", "one two three eight nine", "", None, " \n\t\n ", "twice\ntwice\ntwice", "x" * 50_000,
+    ("Page 1 of 9 in this book\nred sea and blue sky\nunlike all others here", "Page 1 of 9 in this book\nred sea and blue sky\nunlike all others here"),
+    ("Page 2 of 9 in this book\nred sea and blue sky\n\nother", "\nother"),
+    ("Page 33 of 9 in this book\nred sea and blue sky", ""),
+    ("all words of this line are the same but alpha", "all words of this line are the same but alpha"),
+    ("all words of this line are the same but beta", ""),
+    ("all words of this line are the same but gamma", ""),
+    ("one two three four five", "one two three four five"),
+    ("one two three six seven", "one two three six seven"),
+    ("one two three eight nine", "one two three eight nine"),
+    ("", ""), (None, None), (" \n\t\n ", " \n\t\n "), ("twice\ntwice\ntwice", "twice\ntwice\ntwice"), ("x" * 50_000, "x" * 50_000),
+    # Rows of numbers and lines of one word with a digit have nothing in common.
+    ("12 45 78", "12 45 78"), ("9 1 2000", "9 1 2000"), ("3 33 1999", "3 33 1999"), ("https://a.org/1", "https://a.org/1"),
+    ("ISBN-99", "ISBN-99"), ("v2.0", "v2.0"), ("v3.1", "v3.1"), ("v7.5", "v7.5"),
+    ("我有3本书在家里放着", "我有3本书在家里放着"), ("他走了5公里去上学", "他走了5公里去上学"), ("今天是2024年的第一天", "今天是2024年的第一天"),
+    # A line of two documents, word for word, with other spaces between.
+    (LONG, LONG), ("head\n  " + LONG.replace(" ", " \t") + "\ntail", "head\ntail"),
+    # A general template of two documents only.
+    ("a notice that was sent by anna", "a notice that was sent by anna"), ("a notice that was sent by otto", "a notice that was sent by otto"),
 ]
 
 
 def test_line_dedup(spark, docs_of):
-    docs = docs_of(TEXTS, places=["p"] * len(TEXTS), own_lines=["o"] * len(TEXTS))
+    texts = [t for t, _ in TEXTS]
+    docs = docs_of(texts, places=["p"] * len(texts), own_lines=["o"] * len(texts))
     docs = docs.unionAll(docs.filter("doc_id = 3"))
     found = line_dedup.drop_recurring_lines(docs.repartition(3))
     assert found.columns == [*docs.columns, "n_dropped_lines"]
     rows = found.collect()
-    keys = [(r.doc_id, TEXTS[r.doc_id]) for r in rows]
-    want = _brute_lines(keys)
-    assert len(rows) == len(TEXTS) + 1
+    assert len(rows) == len(texts) + 1
+    want = _brute_lines([(r.doc_id, texts[r.doc_id]) for r in rows])
     for r in rows:
-        assert (r.text, r.n_dropped_lines) == want[r.doc_id, TEXTS[r.doc_id]]
+        assert r.text == TEXTS[r.doc_id][1]
+        assert (r.text, r.n_dropped_lines) == want[r.doc_id, texts[r.doc_id]]
         assert (r.places, r.own_lines) == ("p", "o")
-    left = {r.doc_id: r.text for r in rows}
-    assert left[0] == TEXTS[0] and left[1] == "\nother" and left[2] == "" and left[4] == "" and left[3] == TEXTS[3]
-    assert [left[i] for i in (6, 7, 8)] == TEXTS[6:9]
+
+
+def test_line_dedup_by_the_rule(spark, draw):
+    words = ["sun", "moon", "7", "x9", "sea", "and", "of"]
+    line = lambda: " ".join(draw.choice(words, int(draw.integers(1, 7)), p=[0.3, 0.2, 0.1, 0.1, 0.1, 0.1, 0.1]).tolist())
+    rows = [(int(i) if i >= 0 else None, "\n".join(line() for _ in range(int(draw.integers(0, 7))))) for i in draw.integers(-2, 150, 200)]
+    rows += rows[:10] + [(500, "\n".join(["sun of sea and moon"] * 3000)), (501, "sun of sea and moon " * 4000)]
+    found = line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = _brute_lines(rows)
+    left = Counter((doc, *want[doc, text]) for doc, text in rows)
+    assert Counter((r.doc_id, r.text, r.n_dropped_lines) for r in found) == left
 
 
 def test_line_dedup_of_nothing(docs_of):
