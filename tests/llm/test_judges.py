@@ -41,22 +41,98 @@ def test_accepted_keeps_columns(corpus):
     assert {r.doc_id for r in rows} == judged and all(r.distance == str(r.doc_id) for r in rows)
 
 
-def test_quality_rules_match_numpy(corpus):
-    """The last estimate is the mean and covariance of the rows nearest to the one before."""
-    counts = quality_rules.with_counts(corpus.filter("doc_id < 500 and lang = 'en'"), ["doc_id", "lang", "source"])
-    rows = counts.select(F.lit("g").alias("group"), *[c.alias(f) for f, c in quality_rules._features().items()])
-    start = quality_rules._start(rows)
-    x = np.array([tuple(r)[1:] for r in rows.collect()])
-    first = start.first()
-    middle = np.sort(x, axis=0)[(len(x) - 1) // 2]
-    assert np.allclose(first.location, middle, atol=0.02)
-    found = quality_rules._concentrate(rows, start).first()
-    off = x - np.array(first.location)
-    distance = np.einsum("ij,jk,ik->i", off, np.array(first.precision).reshape(8, 8), off)
-    near = x[distance <= np.sort(distance)[int(np.ceil(0.75 * len(x))) - 1]]
-    assert np.allclose(found.location, near.mean(0), atol=0.02)
-    covariance = quality_rules._CONSISTENCY * np.cov(near.T, bias=True) + np.diag(np.square(list(quality_rules.FEATURES.values())))
-    assert np.allclose(np.linalg.inv(np.array(found.precision).reshape(8, 8)), covariance, atol=5e-3)
+def _rank(values, share):
+    return np.sort(values, axis=0)[max(int(np.ceil(share * len(values))), 1) - 1]
+
+
+def _numpy_verdicts(counts):
+    """The whole method on the rows of a table of counts: whether each one is kept."""
+    q = quality_rules
+    floor = np.diag(np.square(list(q.FEATURES.values())))
+    rows = counts.select("lang", "source", (~q._failed()).alias("passed"), *[c.alias(f) for f, c in q._features().items()]).collect()
+    passed, x = np.array([r.passed for r in rows]), np.array([tuple(r)[3:] for r in rows])
+    estimates = {}
+
+    def distances(rows, location, covariance):
+        off = rows - location
+        return np.einsum("ij,jk,ik->i", off, np.linalg.inv(covariance), off)
+
+    def step(rows, location, covariance):
+        distance = distances(rows, location, covariance)
+        near = rows[distance <= _rank(distance, q.H)]
+        return near.mean(0), q._CONSISTENCY * np.cov(near.T, bias=True).reshape(8, 8) + floor, len(near)
+
+    def estimate(rows):
+        middle = _rank(rows, 0.5)
+        scale = np.sqrt((1.4826 * _rank(np.abs(rows - middle), 0.5)) ** 2 + np.diag(floor))
+        z = (rows - middle) / scale
+        length = np.sqrt((z**2).sum(1))
+        unit = z[length > 0] / length[length > 0, None]
+        starts = [(middle, np.diag(scale**2)), (middle, np.outer(scale, scale) * (unit.T @ unit) * 8 / max(len(unit), 1) + floor)]
+        found = []
+        for start in starts:
+            for _ in range(q.FIRST_STEPS):
+                start = step(rows, *start[:2])
+            found.append(start)
+        best = min(found, key=lambda s: np.linalg.slogdet(s[1])[1])
+        for _ in range(40):
+            best = step(rows, *best[:2])
+        return best
+
+    for key in {k for r, p in zip(rows, passed, strict=True) if p for k in ((r.lang, r.source), (r.lang,), ())}:
+        own = np.array([p and (r.lang, r.source)[: len(key)] == key for r, p in zip(rows, passed, strict=True)])
+        estimates[key] = estimate(x[own])
+    kept = []
+    for r, p, values in zip(rows, passed, x, strict=True):
+        found = None
+        for key in ((), (r.lang,), (r.lang, r.source)) if p else ():
+            location, covariance, n = estimates[key]
+            if found:
+                own = n / (n + q.PRIOR_ROWS)
+                covariance = own * covariance + (1 - own) * found[1]
+                location = own * location + (1 - own) * found[0]
+            found = location, covariance
+        kept.append(bool(p) and distances(values[None], *found)[0] <= q.CUT)
+    return kept
+
+
+def test_quality_rules_are_those_of_numpy(spark, sf_medium, monkeypatch):
+    counts = quality_rules.with_counts(spark.read.parquet(f"{sf_medium}/documents.parquet"), ["doc_id", "lang", "source"]).cache()
+    want = dict(zip([r.doc_id for r in counts.collect()], _numpy_verdicts(counts), strict=True))
+    assert 0 < sum(want.values()) < len(want)
+    for few in (10_000, 0):  # estimates by broadcast, and by a salted join
+        monkeypatch.setattr(quality_rules, "BROADCAST_GROUPS", few)
+        found = quality_rules.judged(counts, quality_rules.estimates(counts)).collect()
+        assert {r.doc_id: r.kept for r in found} == want
+
+
+def test_small_sources_are_judged_each_by_itself(docs_of, draw):
+    """Sources of 150 texts with digits in them, among sources without."""
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    texts, sources = [], []
+    for source in range(20):
+        for _ in range(150):
+            text = draw.choice(words, 60).tolist()
+            if source < 10:
+                text[::2] = [str(draw.integers(100, 999)) for _ in text[::2]]
+            texts.append(" ".join(text))
+            sources.append(f"s{source}")
+    texts += texts[:3] + texts[1500:1503]
+    sources += ["s15"] * 3 + ["s5"] * 3
+    rows = quality_rules.judge(docs_of(texts, lang=["en"] * len(texts), source=sources)).collect()
+    far = {r.doc_id: r.distance for r in rows}
+    assert all(r.kept for r in rows if r.doc_id < 3000) and not any(r.kept for r in rows if r.doc_id >= 3000)
+    assert min(far[i] for i in range(3000, 3006)) > 10 * max(far[i] for i in range(3000))
+
+
+def test_quality_rules_on_a_long_text_and_repeated_rows(docs_of, draw):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
+    texts = [" ".join(draw.choice(words, 80)) for _ in range(40)] + [" ".join(draw.choice(words, 700_000))]
+    docs = docs_of(texts, lang=["en"] * 41, source=["a"] * 41)
+    rows = quality_rules.judge(docs.unionAll(docs.filter("doc_id < 3")).repartition(3)).collect()
+    assert len(rows) == 44 and {r.n_words for r in rows} == {80, 700_000}
+    for i in range(3):
+        assert len({(r.kept, r.distance) for r in rows if r.doc_id == i}) == 1
 
 
 def test_chi_square():
