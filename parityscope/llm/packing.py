@@ -41,10 +41,14 @@ SHARD_TOKENS = 8_000_000
 #: Documents that mark places in the corpus, and how many of them a document names.
 LEADERS, PREFIX = 64, 4
 _PLACES = [f"place_{i}" for i in range(PREFIX)]
-#: Tokens whose terms are counted at a time; a longer document is alone.
-_TOKENS_AT_A_TIME = 100_000
+#: Documents, and tokens of them, whose terms are counted at a time; a longer one is alone.
+_DOCS_AT_A_TIME, _TOKENS_AT_A_TIME = 512, 100_000
+#: Neighbours looked at first; more only if they don't fill a window.
+_NEAREST = 64
+#: Used documents leave the index when they are more than this share of it.
+_USED = 1 / 4
 #: A posting list that holds a larger share of the documents is a column of a matrix.
-_COMMON = 1 / 8
+_COMMON = 1 / 16
 _K1, _B = 1.2, 0.75
 #: Range of term ids whose document frequencies one row carries.
 _BLOCK = 4096
@@ -62,11 +66,16 @@ def _binary(ids: np.ndarray, offsets: np.ndarray, width: str) -> pa.Array:
     return whole.cast(pa.binary())
 
 
-def _encode(path: str, end_id: int, width: str):
-    """Ids, with a number for each row that depends on its contents alone."""
+def _encode(path: str, end_id: int, n_terms: int, leaders: list[str]):
+    """Ids, a number for each row that depends on its contents alone, and the leaders that
+    it ranks first, in order."""
+    width = _width(n_terms)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder(path)
+        ids, offsets = encoder.encode(Texts.of(pa.array(leaders, pa.string())), end_id)
+        held = np.bincount(_terms(ids, offsets, n_terms)[1], minlength=n_terms)
+        near = _Index(ids, offsets, np.log1p((len(leaders) - held + 0.5) / (held + 0.5)), len(ids) / max(len(leaders), 1))
         for batch in batches:
             for piece in slices(batch, "text", ENCODE_BYTES):
                 ids, offsets = encoder.encode(Texts.of(piece.column("text")), end_id)
@@ -79,13 +88,30 @@ def _encode(path: str, end_id: int, width: str):
                         piece.column("doc_id"),
                         pa.array(np.diff(offsets), pa.int64()),
                         packed,
+                        *(pa.array(c, pa.int64()) for c in _places(near, ids, offsets, n_terms).T),
                     ],
-                    ["draw", "doc_id", "n_tokens", "ids"],
+                    ["draw", "doc_id", "n_tokens", "ids", *_PLACES],
                 )
 
     return encode
 
 
+def _places(near: _Index, ids: np.ndarray, offsets: np.ndarray, n_terms: int) -> np.ndarray:
+    found, a = [np.zeros((0, PREFIX), np.int64)], 0
+    while a < len(offsets) - 1:
+        b = _cut(offsets, a)
+        docs, terms, _ = _terms(ids[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n_terms)
+        first = np.argsort(-near.asked(docs, terms, b - a), axis=1, kind="stable")[:, :PREFIX]
+        found.append(np.pad(first, ((0, 0), (0, PREFIX - first.shape[1]))))
+        a = b
+    return np.concatenate(found)
+
+
+def _cut(offsets: np.ndarray, a: int) -> int:
+    """The end of a run of documents from ``a`` on, of bounded size."""
+    return max(a + 1, min(a + _DOCS_AT_A_TIME, int(np.searchsorted(offsets, offsets[a] + _TOKENS_AT_A_TIME, side="right")) - 1))
+
+
 def _ids(column: pa.Array, width: str) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all rows end to end, and their offsets."""
     column = pc.cast(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column, pa.large_binary())
@@ -151,7 +177,7 @@ def _postings(ids: np.ndarray, offsets: np.ndarray, idf: np.ndarray, mean_length
     """As ``_weighted``, in narrow types, made from a bounded number of tokens at a time."""
     found, a = [(np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, np.float32))], 0
     while a < len(offsets) - 1:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _TOKENS_AT_A_TIME, side="right")) - 1)
+        b = _cut(offsets, a)
         docs, terms, weights = _weighted(ids[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], idf, mean_length)
         found.append(((docs + a).astype(np.int32), terms.astype(np.uint32), weights.astype(np.float32)))
         a = b
@@ -161,65 +187,78 @@ def _postings(ids: np.ndarray, offsets: np.ndarray, idf: np.ndarray, mean_length
 
 class _Index:
     """BM25 over some documents. Posting lists that hold a large share of them are the
-    columns of a matrix, the others lists of documents and weights."""
+    rows of a matrix, the others lists of documents and weights. ``docs`` are those left."""
 
     def __init__(self, ids: np.ndarray, offsets: np.ndarray, idf: np.ndarray, mean_length: float) -> None:
         docs, terms, weights = _postings(ids, offsets, idf, mean_length)
-        self._n = len(offsets) - 1
-        self._doc_ends = np.searchsorted(docs, np.arange(self._n + 1))
+        n = len(offsets) - 1
+        self.docs = np.arange(n)
+        self._doc_ends = np.searchsorted(docs, np.arange(n + 1))
         self._terms = terms
         held = np.bincount(terms, minlength=len(idf))
-        common = np.flatnonzero(held > max(_COMMON * self._n, 1))
-        self._column_of = np.full(len(idf), -1, np.int32)
-        self._column_of[common] = np.arange(len(common))
-        columns = self._column_of[terms]
-        self._common = np.zeros((len(common), self._n), np.float32)
-        self._common[columns[columns >= 0], docs[columns >= 0]] = weights[columns >= 0]
-        docs, terms, weights = (v[columns < 0] for v in (docs, terms, weights))
+        common = np.flatnonzero(held > max(_COMMON * n, 1))
+        self._row_of = np.full(len(idf), -1, np.int32)
+        self._row_of[common] = np.arange(len(common))
+        rows = self._row_of[terms]
+        self._common = np.zeros((len(common), n), np.float32)
+        self._common[rows[rows >= 0], docs[rows >= 0]] = weights[rows >= 0]
+        docs, terms, weights = (v[rows < 0] for v in (docs, terms, weights))
         by_term = np.argsort(terms, kind="stable")
         self._postings, self._values = docs[by_term], weights[by_term]
-        self._term_ends = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=len(idf)))))
+        self._ends = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=len(idf)))))
+
+    def terms(self, doc: int) -> np.ndarray:
+        return self._terms[self._doc_ends[doc] : self._doc_ends[doc + 1]]
+
+    def asked(self, queries: np.ndarray, terms: np.ndarray, n: int) -> np.ndarray:
+        """Score of every document left for each of ``n`` queries, given as pairs of query and term."""
+        rows, size = self._row_of[terms], len(self.docs)
+        common = rows >= 0
+        if n == 1:  # only the rows asked for are read
+            scores = (np.ones(common.sum(), np.float32) @ self._common[rows[common]])[None, :].astype(float)
+        else:
+            wanted = np.zeros((n, len(self._common)), np.float32)
+            wanted[queries[common], rows[common]] = 1
+            scores = (wanted @ self._common).astype(float)
+        rare, own = terms[~common], queries[~common]
+        start, held = self._ends[rare], self._ends[rare + 1] - self._ends[rare]
+        at = np.arange(held.sum()) + np.repeat(start - np.cumsum(held) + held, held)
+        cells = np.repeat(own * size, held) + self._postings[at]
+        return scores + np.bincount(cells, self._values[at], n * size).reshape(n, size)
 
     def scores(self, doc: int) -> np.ndarray:
-        """Score of every document for all terms of one."""
-        return self.asked(self._terms[self._doc_ends[doc] : self._doc_ends[doc + 1]])
-
-    def asked(self, terms: np.ndarray) -> np.ndarray:
-        columns = self._column_of[terms]
-        wanted = np.zeros(len(self._common), np.float32)
-        wanted[columns[columns >= 0]] = 1
-        scores = wanted @ self._common
-        rare = terms[columns < 0]
-        start, size = self._term_ends[rare], self._term_ends[rare + 1] - self._term_ends[rare]
-        at = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
-        return scores + np.bincount(self._postings[at], self._values[at], self._n)
-
-
-def _leaders(tokens: DataFrame) -> pa.Table:
-    """The documents of the smallest hashes: at most ``LEADERS`` rows. Of a long document the
-    first ``WINDOW`` ids stand for it, as it only marks a place."""
-    head = F.substring("ids", 1, 4 * WINDOW)
-    drawn = tokens.select(F.xxhash64("draw", F.lit(9)).alias("at"), "draw", "doc_id", head.alias("ids"))
-    return drawn.orderBy("at", "draw", "doc_id", "ids").limit(LEADERS).select("ids").toArrow()
-
-
-def _route(leaders: pa.Table, idf: np.ndarray, mean_length: float):
-    """The leaders that each document ranks first, in order."""
-    width = _width(len(idf))
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _Index(*_ids(leaders["ids"], width), idf, mean_length)
-        for batch in batches:
-            near = np.zeros((batch.num_rows, PREFIX), np.int64)
-            ids, offsets = _ids(batch.column("ids"), width)
-            for i in range(batch.num_rows):
-                scores = index.asked(np.unique(ids[offsets[i] : offsets[i + 1]]))
-                first = np.argsort(-scores, kind="stable")[:PREFIX]
-                near[i, : len(first)] = first
-            places = [pa.array(c, pa.int64()) for c in near.T]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *places], [*batch.schema.names, *_PLACES])
+        """Score of every document left for all terms of one."""
+        terms = self.terms(doc)
+        return self.asked(np.zeros(len(terms), np.int64), terms, 1)[0]
+
+    def keep(self, some: np.ndarray) -> None:
+        """Leave out the documents that are not among some of those left."""
+        self.docs, self._common = self.docs[some], np.ascontiguousarray(self._common[:, some])
+        place = np.cumsum(some) - 1
+        stay = some[self._postings]
+        self._postings, self._values = place[self._postings[stay]].astype(np.int32), self._values[stay]
+        self._ends = np.concatenate(([0], np.cumsum(stay)))[self._ends]
+
+
+def _nearest(scores: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the ``n`` best positive scores, best first."""
+    if n < len(scores):
+        some = np.flatnonzero(scores >= np.partition(scores, len(scores) - n)[len(scores) - n])
+        some = some[np.argsort(-scores[some], kind="stable")][:n]
+    else:
+        some = np.argsort(-scores, kind="stable")
+    return some[scores[some] > 0]
 
-    return route
+
+def _neighbours(index: _Index, seed: int, rest: np.ndarray, room: int) -> Iterator[int]:
+    """The unused documents nearest to a seed, in order, enough to fill a window."""
+    scores = index.scores(seed)
+    scores[rest[index.docs] == 0] = -1
+    scores[index.docs == seed] = -1
+    first = _nearest(scores, _NEAREST)
+    yield from index.docs[first]
+    if len(first) == _NEAREST:
+        yield from index.docs[_nearest(scores, room)[_NEAREST:]]
 
 
 def _fill(lengths: np.ndarray, index: _Index, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -232,14 +271,17 @@ def _fill(lengths: np.ndarray, index: _Index, window: int) -> list[tuple[int, in
             start[doc] += window
             sequence += 1
     rest = lengths - start
-    left, room, seed, filled = int(rest.sum()), 0, 0, 0
+    left, seed = int(rest.sum()), 0
     while left:
         room = min(window, 1 << (left.bit_length() - 1)) if left < window else window
         filled = 0
+        unused = rest[index.docs] > 0
+        if unused.sum() < (1 - _USED) * len(unused):
+            index.keep(unused)
         while not rest[seed]:
             seed += 1
-        order: Iterator[int] = iter(())
-        doc, first = seed, True
+        near = _neighbours(index, seed, rest, room)
+        doc = seed
         while filled < room:
             take = int(min(rest[doc], room - filled))
             pieces.append((int(doc), int(start[doc]), take, sequence, filled))
@@ -247,18 +289,12 @@ def _fill(lengths: np.ndarray, index: _Index, window: int) -> list[tuple[int, in
             rest[doc] -= take
             filled += take
             left -= take
-            if filled == room:
-                break
-            if first:
-                scores = index.scores(seed)
-                scores[rest == 0] = -1
-                near = np.argsort(-scores, kind="stable")[: room]
-                order, first = iter(near[scores[near] > 0].tolist()), False
-            doc = next((d for d in order if rest[d]), None)
-            if doc is None:  # no neighbour is left: go on in order
-                while not rest[seed]:
-                    seed += 1
-                doc = seed
+            if filled < room:
+                doc = next(near, None)
+                if doc is None:  # no neighbour is left: go on in order
+                    while not rest[seed]:
+                        seed += 1
+                    doc = seed
         sequence += 1
     return pieces
 
@@ -305,25 +341,25 @@ def _pack(idf: np.ndarray, mean_length: float, window: int, shard_tokens: int):
     return pack
 
 
+def _leaders(docs: DataFrame) -> list[str]:
+    """The beginnings of ``LEADERS`` documents drawn by a hash of their id, which mark places."""
+    drawn = docs.select("doc_id", F.substring("text", 1, 4 * WINDOW).alias("text")).filter("text != ''")
+    return [r.text for r in drawn.orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id", "text").limit(LEADERS).collect()]
+
+
 def pack(docs: DataFrame, tokenizer_path: str, n_terms: int, end_id: int, window: int = WINDOW) -> DataFrame:
     """Pieces of all documents, with their ids as little-endian 32-bit integers."""
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("draw", "doc_id", "n_tokens")]).add("ids", "binary")
+    for place in _PLACES:
+        schema = schema.add(place, "long")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tokens = written(docs.mapInArrow(_encode(tokenizer_path, end_id, _width(n_terms)), schema), "tokens")
+    tokens = written(docs.mapInArrow(_encode(tokenizer_path, end_id, n_terms, _leaders(docs)), schema), "tokens")
     n_docs, n_tokens = tokens.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     df = term_frequencies(tokens, n_terms)
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
-    mean_length = n_tokens / max(n_docs, 1)
-    for place in _PLACES:
-        schema = schema.add(place, "long")
-    shards = max(1, round(n_tokens / SHARD_TOKENS))
-    if shards > 1:
-        tokens = written(tokens.mapInArrow(_route(_leaders(tokens), idf, mean_length), schema), "routed")
-    else:
-        tokens = tokens.withColumns({place: F.lit(0).cast("long") for place in _PLACES})
-    # Equal documents have equal leaders; the hash deals a large group to several partitions.
-    order = [*_PLACES, "draw", "doc_id", "ids"]
-    dealt = tokens.repartitionByRange(shards, *_PLACES, "draw").sortWithinPartitions(*order)
+    # Equal documents have equal places; the hash deals a large group to several partitions.
+    dealt = tokens.repartitionByRange(max(1, round(n_tokens / SHARD_TOKENS)), *_PLACES, "draw")
+    dealt = dealt.sortWithinPartitions(*_PLACES, "draw", "doc_id", "ids")
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")])
-    packed = _pack(idf, mean_length, window, SHARD_TOKENS * 5 // 4)
+    packed = _pack(idf, n_tokens / max(n_docs, 1), window, SHARD_TOKENS * 5 // 4)
     return dealt.select("doc_id", "n_tokens", "ids").mapInArrow(packed, schema.add("ids", "binary"))

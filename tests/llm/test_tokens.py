@@ -159,6 +159,9 @@ def test_index_scores_are_those_of_brute_force(draw):
                 tf = int((own == term).sum())
                 want[doc] += idf[term] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(own) / 200))
         assert np.allclose(index.scores(seed), want, rtol=1e-4)
+        few = packing._Index(flat, offsets, idf, 200.0)
+        few.keep(np.arange(120) % 3 == 0)
+        assert np.allclose(few.scores(seed), want[::3], rtol=1e-4) and (few.docs == np.arange(0, 120, 3)).all()
 
 
 def test_packing_finds_neighbours_outside_a_shard(spark, docs_of, draw, monkeypatch):
