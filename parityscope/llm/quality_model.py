@@ -5,15 +5,17 @@ its statistics and by hashed words and word beginnings, and encoded by one layer
 attention (a softmax over the bag of ``w (tanh(V h) * sigmoid(U h))``) weighs the
 passages; the score is read off their weighted mean. All layers are learned together,
 from document labels alone, on a bounded sample of labelled rows
-(``labelled.ROWS_PER_CLASS``). Scoring reads every whole text and nothing but the text.
+(``labelled.ROWS_PER_CLASS``, ``FIT_PASSAGES`` of a text), in one task: at most 200 kB for
+each 1,000 passages. Scoring reads every whole text and nothing but the text.
 
-Defined results: a null or empty text is one passage without words; repeated rows get
-equal scores; an empty table gives no rows; without labels of both classes every score is
+Defined results: a null or empty text is one passage without words; a text of any length is
+scored by all its passages; repeated rows get equal scores; an empty table gives no rows; without labels of both classes every score is
 the share of ones among the labels (0.5 without any).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +33,10 @@ _HASHED = 32
 _STATISTICS = 15
 _INPUT = _HASHED + _STATISTICS
 _HIDDEN, _ATTENTION, _STEPS, _RATE, _RIDGE = 24, 12, 400, 0.02, 1e-4
+#: Shapes of the layers.
+_SHAPES = {"W": (_INPUT, _HIDDEN), "b": (_HIDDEN,), "V": (_HIDDEN, _ATTENTION), "U": (_HIDDEN, _ATTENTION), "a": (_ATTENTION,), "c": (_HIDDEN,), "d": ()}
+#: Passages of a text that the fit uses at most, spread evenly over it; scores use all.
+FIT_PASSAGES = 256
 
 
 def _flags(test) -> np.ndarray:
@@ -146,8 +152,7 @@ def fit_passages(x: np.ndarray, ends: np.ndarray, labels: np.ndarray, share: flo
     model.center, model.scale = x.mean(0), x.std(0) + 1e-3
     x = (x - model.center) / model.scale
     draw = np.random.default_rng(8)
-    shapes = {"W": (_INPUT, _HIDDEN), "b": _HIDDEN, "V": (_HIDDEN, _ATTENTION), "U": (_HIDDEN, _ATTENTION), "a": _ATTENTION, "c": _HIDDEN, "d": ()}
-    model.layers = {k: draw.normal(0, 0.1 if k in "ac" else 0.2, s) if k not in "bd" else np.zeros(s) for k, s in shapes.items()}
+    model.layers = {k: draw.normal(0, 0.1 if k in "ac" else 0.2, s) if k not in "bd" else np.zeros(s) for k, s in _SHAPES.items()}
     # Each class weighs as much as among all labelled rows.
     weight = np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean())) / len(labels)
     first = {k: np.zeros_like(v) for k, v in model.layers.items()}
@@ -167,21 +172,42 @@ def fit_passages(x: np.ndarray, ends: np.ndarray, labels: np.ndarray, share: flo
 def _described() -> TextFunction:
     def describe(texts: Texts) -> list[pa.Array]:
         x, ends = passages(texts)
-        values = pa.array(x.ravel(), pa.float32())
-        return [pa.ListArray.from_arrays(pa.array((ends * _INPUT).astype(np.int32)), values)]
+        chosen = [a + np.unique(np.linspace(0, b - a - 1, min(b - a, FIT_PASSAGES)).round().astype(int)) for a, b in zip(ends, ends[1:], strict=False)]
+        at = np.concatenate([np.zeros(0, np.int64), *chosen])
+        offsets = np.concatenate(([0], np.cumsum([len(c) for c in chosen]))) * _INPUT
+        return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(x[at].ravel(), pa.float32()))]
 
     return describe
 
 
+def _learned(share: float):
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        lists = table["passages"].combine_chunks()
+        lengths = pc.list_value_length(lists).to_numpy() // _INPUT
+        ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+        model = fit_passages(lists.flatten().to_numpy().reshape(-1, _INPUT), ends, table["label"].to_numpy(), share)
+        parts = model.layers | ({"center": model.center, "scale": model.scale} if model.layers else {})
+        values = [pa.array([np.asarray(v, float).ravel() for v in parts.values()], pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string()), *values], ["name", "weights"])
+
+    return learn
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Fit in one task, on the bounded sample; the driver gets the layers alone."""
     rows, share = fitting_rows(docs, labels, "quality")
     described = with_text_columns(rows, {"passages": "array<float>"}, _described, keep=["doc_id", "label"])
-    table = described.orderBy("doc_id", "passages").toArrow().combine_chunks()
-    lists = table["passages"].combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.float32()))
-    x = lists.flatten().to_numpy().reshape(-1, _INPUT)
-    lengths = pc.list_value_length(lists).to_numpy() // _INPUT
-    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
-    return fit_passages(x, ends, table["label"].to_numpy(), share)
+    one = described.repartition(1).sortWithinPartitions("doc_id", "passages")
+    found = {r.name: np.array(r.weights) for r in one.mapInArrow(_learned(share), "name string, weights array<double>").collect()}
+    model = Model(share)
+    if found:
+        model.center, model.scale = found["center"], found["scale"]
+        model.layers = {k: found[k].reshape(shape) for k, shape in _SHAPES.items()}
+    return model
 
 
 def with_scores(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:

@@ -185,6 +185,51 @@ def test_classifiers_on_held_out_rows(marked, model, label):
     assert all(r.predicted == (r.score >= limit) for r in rows.values())
 
 
+def _plain_quality(model, text):
+    """The score of one text, passage by passage."""
+    x, _ = quality_model.passages(Texts.of(pa.array([text], pa.string())))
+    p, logits, codes = model.layers, [], []
+    for row in (x - model.center) / model.scale:
+        h = np.tanh(row @ p["W"] + p["b"])
+        codes.append(h)
+        logits.append(float(p["a"] @ (np.tanh(p["V"].T @ h) / (1 + np.exp(-(p["U"].T @ h))))))
+    weights = [np.exp(v - max(logits)) for v in logits]
+    z = sum(w * h for w, h in zip(weights, codes, strict=True)) / sum(weights)
+    return 1 / (1 + np.exp(-float(z @ p["c"] + p["d"])))
+
+
+def test_quality_scores_are_those_of_plain_numpy(marked, monkeypatch):
+    """Fit and scores by Spark against a fit on all labelled rows in order, and a loop over passages."""
+    docs, labels = marked
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    truth = {r.doc_id: r.quality for r in labels.collect() if r.doc_id in texts and r.quality is not None}
+    held = {r.doc_id for r in docs.filter(labelled.held_out(F.col("doc_id"))).collect()}
+    used = sorted(i for i in truth if i not in held)
+    x, ends = quality_model.passages(Texts.of(pa.array([texts[i] for i in used], pa.string())))
+    plain = quality_model.fit_passages(x, ends, np.array([truth[i] for i in used]), float(np.mean([truth[i] for i in used])))
+    for r in quality_model.score(docs.repartition(4), labels).collect():
+        assert abs(r.score - _plain_quality(plain, texts[r.doc_id])) < 1e-4
+
+
+def test_toxicity_scores_are_those_of_plain_numpy(marked):
+    docs, labels = marked
+    model = toxicity.fit(docs.repartition(4), labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = {r.doc_id: r.score for r in toxicity.with_scores(docs.select("doc_id", "text"), model).collect()}
+    for i, text in list(texts.items())[::37]:
+        features = toxicity._pairs()(Texts.of(pa.array([text], pa.string())))[0][0].as_py()
+        logit = sum(model.weights[f] for f in set(features)) + model.intercept
+        assert abs(found[i] - 1 / (1 + np.exp(-logit))) < 1e-9
+
+
+@pytest.mark.parametrize("model", [toxicity, quality_model])
+def test_classifiers_on_a_long_text(marked, model):
+    docs, labels = marked
+    long = docs.filter("doc_id < 1").withColumns({"doc_id": F.lit(5000).cast("long"), "text": F.repeat(F.lit("some usual words and more "), 200_000)})
+    rows = model.score(docs.unionAll(long), labels.unionAll(labels.filter("doc_id = 4").withColumn("doc_id", F.lit(5000).cast("long")))).collect()
+    assert len(rows) == 904 and all(0 <= r.score <= 1 for r in rows)
+
+
 @pytest.mark.parametrize("model", [toxicity, quality_model])
 def test_classifiers_without_rows_or_labels(spark, docs_of, model):
     labels = _labels(spark, [])
