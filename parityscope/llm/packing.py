@@ -138,9 +138,13 @@ def _frequencies(n_terms: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(-(-n_terms // _BLOCK) * _BLOCK, np.int64)
         for batch in batches:
-            for a in range(0, len(batch), 1000):
-                ids, offsets = _ids(batch.slice(a, 1000).column("ids"), _width(n_terms))
-                total += np.bincount(_terms(ids, offsets, n_terms)[1], minlength=len(total))
+            ids, offsets = _ids(batch.column("ids"), _width(n_terms))
+            a = 0
+            while a < batch.num_rows:
+                b = _cut(offsets, a)
+                terms = _terms(ids[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n_terms)[1]
+                total += np.bincount(terms, minlength=len(total))
+                a = b
         blocks = total.reshape(-1, _BLOCK)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(blocks)), pa.int64()), pa.array([b.tolist() for b in blocks], pa.list_(pa.int64()))],
@@ -343,8 +347,10 @@ def _pack(idf: np.ndarray, mean_length: float, window: int, shard_tokens: int):
 
 def _leaders(docs: DataFrame) -> list[str]:
     """The beginnings of ``LEADERS`` documents drawn by a hash of their id, which mark places."""
-    drawn = docs.select("doc_id", F.substring("text", 1, 4 * WINDOW).alias("text")).filter("text != ''")
-    return [r.text for r in drawn.orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id", "text").limit(LEADERS).collect()]
+    ids = docs.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(LEADERS)
+    chosen = docs.filter(F.col("doc_id").isin([r.doc_id for r in ids.collect()])).select("doc_id", F.substring("text", 1, 4 * WINDOW).alias("text"))
+    # Rows of one id are many only if the ids are no keys.
+    return [r.text for r in chosen.filter("text != ''").orderBy("doc_id", "text").limit(LEADERS).collect()]
 
 
 def pack(docs: DataFrame, tokenizer_path: str, n_terms: int, end_id: int, window: int = WINDOW) -> DataFrame:

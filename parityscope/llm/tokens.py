@@ -1,10 +1,12 @@
 """Token ids of a batch of texts, by the tokenizers library, each different chunk encoded once.
 
 Byte-level and word-end BPE split a text by a pattern before merging. A split always lies
-where a run of white space begins, and between a letter and a punctuation mark other
-than an apostrophe. Such a run may mix ASCII and other Unicode white space; it is cut
-at its first character if that is ASCII, and nowhere else. So a text is cut there, the different chunks are encoded, and the ids
-of the text are the ids of its chunks in order: the same ids as from encoding it whole.
+where a run of white space begins, and between two of a letter, a digit and a punctuation
+mark other than an apostrophe. A run of white space may mix ASCII and other Unicode
+spaces; it is cut at its first character if that is ASCII, and nowhere else. So a text is
+cut there, the different chunks are encoded, and the ids of the text are the ids of its
+chunks in order: the same ids as from encoding it whole. If the tokenizer reads capital
+letters as small ones and all white space as one space, so do the chunks.
 """
 
 from __future__ import annotations
@@ -31,6 +33,12 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _MARK = np.zeros(256, bool)
 _MARK[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = True
+_LETTERS, _DIGITS, _MARKS = 1, 2, 3
+#: Class of each byte, 0 for those that are none of the three.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[_LETTER], _CLASS[_MARK], _CLASS[48:58] = _LETTERS, _MARKS, _DIGITS
+_FOLDED, _ONE_SPACE = np.arange(256, dtype=np.uint8), np.arange(256, dtype=np.uint8)
+_FOLDED[65:91], _ONE_SPACE[9:14] = np.arange(97, 123), 32
 #: Bytes of characters on which all Unicode versions and regex dialects agree: printable
 #: ASCII, tab, line ends, and U+00C0 to U+00FF but for the two signs among them.
 _PLAIN = np.zeros(256, bool)
@@ -58,6 +66,15 @@ def _space_runs(texts: Texts) -> np.ndarray:
     return runs
 
 
+def _class_changes(data: np.ndarray) -> np.ndarray:
+    """Bytes that begin a letter, digit or mark after another one of the three, the first byte
+    left out. Letters are ASCII, and U+00C0 to U+00FF but for the two signs among them."""
+    kind = _CLASS[data]
+    wide = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))
+    kind[wide], kind[wide + 1] = _LETTERS, _LETTERS
+    return (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable character by which byte-level models write each byte."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -74,7 +91,9 @@ class ChunkEncoder:
             config = json.load(file)
         self._special = [t["content"].encode() for t in config["added_tokens"]]
         normalizer = config["normalizer"] or {}
-        self._lower = any(n["type"] == "Lowercase" for n in normalizer.get("normalizers", [normalizer]) if n)
+        normalizers = [n for n in normalizer.get("normalizers", [normalizer]) if n]
+        self._lower = any(n["type"] == "Lowercase" for n in normalizers)
+        self._one_space = any(n["type"] == "Replace" and n["pattern"] == {"Regex": r"\s+"} and n["content"] == " " for n in normalizers)
         steps = config["pre_tokenizer"].get("pretokenizers", [config["pre_tokenizer"]])
         pattern = next((s["pattern"]["Regex"] for s in steps if s["type"] == "Split"), _BYTE_LEVEL_PATTERN)
         self._pieces = regex.compile(pattern).findall
@@ -133,7 +152,9 @@ class ChunkEncoder:
         if len(begins):
             begins[1:] |= _space_runs(texts)
             if not special:
-                begins[1:] |= _MARK[data[1:]] & _LETTER[data[:-1]]
+                begins[1:] |= _class_changes(data)
+                data = _FOLDED[data] if self._lower else data
+                data = _ONE_SPACE[data] if self._one_space else data
         starts = np.flatnonzero(begins)
         chunks = pa.LargeStringArray.from_buffers(
             len(starts),
