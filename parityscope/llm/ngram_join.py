@@ -55,8 +55,9 @@ _VERIFY = 0.1
 _COMMON = 1_000
 #: Nodes and runs of half a block, on average.
 _BLOCK_NODES, _BLOCK_RUNS = 512, 250_000
-#: Bits of the filter that spares most documents without candidates a second look.
-_FILTER_BITS = 23
+#: Bits of the filter that spares most documents without candidates a second look: so many
+#: for each candidate, two to the second power at most (8 MB).
+_FILTER_PER_NODE, _MOST_FILTER_BITS = 32, 26
 
 
 def shingle_sets(texts: Texts) -> Iterator[np.ndarray]:
@@ -170,13 +171,14 @@ def _prefixed(counts: np.ndarray):
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Whole sets of the named documents: texts are not moved, a filter of fixed size
+    """Whole sets of the named documents: texts are not moved, a filter of bounded size
     finds nearly all that are not named, and the join with the pairs drops the others."""
-    cell = F.pmod(F.xxhash64("node"), F.lit(1 << _FILTER_BITS))
+    bits = min(_MOST_FILTER_BITS, max(10, (_FILTER_PER_NODE * nodes.count()).bit_length()))
+    cell = F.pmod(F.xxhash64("node"), F.lit(1 << bits))
     words = nodes.select(F.floor(cell / 32).cast("int").alias("word"), (cell % 32).cast("int").alias("place"))
     words = words.select("word", F.expr("shiftleft(1L, place)").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    table = np.zeros(1 << (_FILTER_BITS - 5), np.uint32)
+    table = np.zeros(1 << (bits - 5), np.uint32)
     table[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

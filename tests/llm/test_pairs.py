@@ -74,6 +74,26 @@ def test_ngram_join_of_nothing(docs_of):
     assert ngram_join.linked(docs_of([])).count() == 0
 
 
+def test_ngram_join_of_long_texts(docs_of, draw):
+    words = [f"w{i}" for i in range(5000)]
+    long = draw.choice(words, 300_000).tolist()
+    other = [*long[:150_000], "changed", *long[150_001:]]
+    half = long[:150_000]
+    rows = ngram_join.linked(docs_of([" ".join(half), " ".join(long), " ".join(other), "short text of only six words"])).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {0: 0, 1: 1, 2: 1, 3: 3}
+    assert {r.doc_id: r.n_shingles for r in rows}[1] == len(_set(" ".join(long)))
+
+
+def test_ngram_join_with_a_run_in_very_many_documents(docs_of, draw):
+    """A run that a tenth of 20,000 short documents share links none of them."""
+    texts = [" ".join(f"w{v}" for v in row) for row in draw.integers(0, 10**6, (20_000, 9))]
+    texts = [f"as was said many times {t}" if i % 10 == 0 else t for i, t in enumerate(texts)]
+    texts += [texts[0], texts[10] + " more"]
+    found = {r.doc_id: r.component_id for r in ngram_join.linked(docs_of(texts).repartition(8)).collect()}
+    assert {i for i, c in found.items() if c != i} == {20_000, 20_001}
+    assert (found[20_000], found[20_001]) == (0, 10)
+
+
 def test_prefix_shares_enough(draw):
     """Similar sets share as many runs of their prefixes as the longer match asks."""
     counts = draw.integers(0, 50, 1 << ngram_join.CELL_BITS)

@@ -1,10 +1,12 @@
 """Token ids, files and packs against the tokenizers and sentencepiece libraries."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyarrow import fs as pafs
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -103,6 +105,25 @@ def test_token_files(spark, docs_of):
         start += len(want)
 
 
+def test_token_files_of_the_least_id_and_by_ranges(spark, monkeypatch):
+    rows = [(-(2**63), "least"), (None, "no id"), (None, ""), (2**63 - 1, "word " * 400_000), (0, None)]
+    folder = shared_path(spark, "test")
+    token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), folder, BYTE, 0)
+    mapped = sorted(map(str, token_files.read_token_files(spark, folder).select("doc_id", "start", F.crc32("ids")).collect()))
+    assert Counter(r.doc_id for r in token_files.read_token_files(spark, folder).collect()) == Counter([d for d, _ in rows])
+    store, path = token_files._file_system(folder)
+    name = f"{path}/00000000"
+    n = spark.read.parquet(f"{folder}/manifest").orderBy("part").first().n_docs
+    whole = token_files._File(store, f"{name}.offsets", "<i8", n + 1)
+    ranges = token_files._File(pafs.SubTreeFileSystem("/", pafs.LocalFileSystem()), f"{name}.offsets", "<i8", n + 1)
+    assert (whole[0 : n + 1] == ranges[0 : n + 1]).all() and (whole[1:n] == ranges[1:n]).all() and len(mapped) == 5
+
+
+def test_token_files_in_a_store_that_tasks_cannot_open(spark, docs_of):
+    with pytest.raises(ValueError, match="wasbs"):
+        token_files.write_token_files(docs_of(["a"]), "wasbs://somewhere/x", BYTE, 0)
+
+
 def test_token_files_of_nothing(spark, docs_of):
     folder = shared_path(spark, "test")
     token_files.write_token_files(docs_of([]), folder, BYTE, 0)
