@@ -13,7 +13,10 @@ An attribute with fewer than two groups has no disparity row.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,14 +29,21 @@ from parityscope.roles import AuditRoles, require_columns
 _KEYS = ("attribute", "group")
 
 # Names of the values carried beside the attributes, chosen not to clash with them.
-_Y, _YHAT, _SCORE, _BIN, _N = "__y", "__yhat", "__score", "__bin", "__n"
+_Y, _YHAT, _SCORE, _BIN, _N, _SCORED = "__y", "__yhat", "__score", "__bin", "__n", "__scored"
+#: Columns of a cell, under the names they are carried by and those they are returned by.
+CELL_NAMES = {_Y: "label", _YHAT: "prediction", _BIN: "bin", _N: "n", _SCORE: "score_sum", _SCORED: "scored"}
 
 # Limits and names of the severity bands.
 HIGH_ABOVE = 0.1
 MEDIUM_FROM = 0.05
 
 
-def _stacked(df: DataFrame, roles: AuditRoles, values: Mapping[str, Column]) -> DataFrame:
+def not_nan(value: Column) -> Column:
+    """The value, null if it is NaN."""
+    return F.when(~F.isnan(value), value)
+
+
+def stacked_attributes(df: DataFrame, roles: AuditRoles, values: Mapping[str, Column]) -> DataFrame:
     """``attribute, group`` and the given values, one row per input row and attribute.
 
     The names of the values must differ from those of the attributes.
@@ -88,9 +98,9 @@ def confusion_by_group(df: DataFrame, roles: AuditRoles, pre_aggregate: bool = F
     require_columns(df, [roles.label, roles.prediction, *roles.attributes])
     outcome = {_Y: F.col(roles.label), _YHAT: F.col(roles.prediction)}
     if not pre_aggregate:
-        return _stacked(df, roles, outcome).groupBy(*_KEYS).agg(*_confusion_aggregates())
+        return stacked_attributes(df, roles, outcome).groupBy(*_KEYS).agg(*_confusion_aggregates())
     combined = _combinations(df, roles, outcome, {})
-    stacked = _stacked(combined, roles, {c: F.col(c) for c in (_Y, _YHAT, _N)})
+    stacked = stacked_attributes(combined, roles, {c: F.col(c) for c in (_Y, _YHAT, _N)})
     return stacked.groupBy(*_KEYS).agg(*_confusion_aggregates(_N))
 
 
@@ -99,8 +109,12 @@ def group_metrics(df: DataFrame, roles: AuditRoles, pre_aggregate: bool = False)
 
     ``selection_rate`` and ``base_rate`` divide by all rows of the group.
     """
+    return _with_rates(confusion_by_group(df, roles, pre_aggregate))
+
+
+def _with_rates(counts: DataFrame) -> DataFrame:
     tp, fp, tn, fn, n = (F.col(c) for c in ("tp", "fp", "tn", "fn", "n"))
-    return confusion_by_group(df, roles, pre_aggregate).select(
+    return counts.select(
         "*",
         safe_ratio(tp, tp + fn).alias("tpr"),
         safe_ratio(fp, fp + tn).alias("fpr"),
@@ -114,6 +128,37 @@ def group_metrics(df: DataFrame, roles: AuditRoles, pre_aggregate: bool = False)
     )
 
 
+def intersections(df: DataFrame, roles: AuditRoles, depth: int = 2, least: int = 1) -> DataFrame:
+    """``group_metrics`` of every combination of values of up to ``depth`` attributes that at
+    least ``least`` rows have.
+
+    ``attribute`` joins the names of the attributes with `` & ``, in the order of the roles;
+    ``group`` is a JSON array of their values, in which a null attribute is null.
+
+    The table is read once, into counts per combination of all attributes. Sets of ``k``
+    attributes are counted only where all their sets of ``k - 1`` had enough rows: as rows
+    of a set are rows of each smaller set, nothing that has ``least`` rows is left out.
+    """
+    require_columns(df, [roles.label, roles.prediction, *roles.attributes])
+    if not 1 <= depth <= len(roles.attributes):
+        raise ValueError("depth must lie between 1 and the number of attributes")
+    combined = _combinations(df, roles, {_Y: F.col(roles.label), _YHAT: F.col(roles.prediction)}, {})
+    found, kept = [], {}
+    for size in range(1, depth + 1):
+        for names in itertools.combinations(roles.attributes, size):
+            rows = combined
+            for smaller in itertools.combinations(names, size - 1):
+                if smaller:
+                    enough = kept[smaller].select(*[F.col(a).alias(f"__{a}") for a in smaller])
+                    same = [F.col(a).eqNullSafe(F.col(f"__{a}")) for a in smaller]
+                    rows = rows.join(enough, reduce(and_, same), "left_semi")
+            counts = rows.groupBy(*names).agg(*_confusion_aggregates(_N)).filter(F.col("n") >= least)
+            kept[names] = counts
+            group = F.to_json(F.array(*[F.col(a) for a in names]), {"ignoreNullFields": "false"})
+            found.append(counts.select(F.lit(" & ".join(names)).alias("attribute"), group.alias("group"), "n", "tp", "fp", "tn", "fn"))
+    return _with_rates(reduce(DataFrame.unionAll, found))
+
+
 def comparison_table(metrics: DataFrame) -> DataFrame:
     """``attribute, group, tpr, fpr, ppv, accuracy`` of a ``group_metrics`` table."""
     return metrics.select(*_KEYS, "tpr", "fpr", "ppv", "accuracy")
@@ -127,9 +172,10 @@ def metrics_long(metrics: DataFrame, names: Sequence[str] = ("tpr", "fpr", "ppv"
 def demographic_parity(df: DataFrame, roles: AuditRoles) -> DataFrame:
     """``attribute, group, prediction_rate, count``.
 
-    The rate is the mean of the predictions that are there; the count is of all rows.
+    The rate is the mean of the predictions that are there, neither null nor NaN; the count
+    is of all rows.
     """
-    stacked = _stacked(df, roles, {_YHAT: F.col(roles.prediction)})
+    stacked = stacked_attributes(df, roles, {_YHAT: not_nan(F.col(roles.prediction))})
     return stacked.groupBy(*_KEYS).agg(
         F.avg(_YHAT).alias("prediction_rate"), F.count(F.lit(1)).alias("count")
     )
@@ -147,7 +193,7 @@ def equal_opportunity(df: DataFrame, roles: AuditRoles) -> DataFrame:
 
     The rate divides by all positives of the group, also those without a prediction.
     """
-    stacked = _stacked(df, roles, {_Y: F.col(roles.label), _YHAT: F.col(roles.prediction)})
+    stacked = stacked_attributes(df, roles, {_Y: F.col(roles.label), _YHAT: F.col(roles.prediction)})
     positive = F.col(_Y) == 1
     counts = stacked.groupBy(*_KEYS).agg(
         F.count_if(positive).alias("positive_count"),
@@ -170,18 +216,19 @@ def disparity(
     metrics: Mapping[str, str],
     eligible: Column | None = None,
     null_group: str = "exclude",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Largest minus smallest value over the groups of each attribute.
+    """Largest minus smallest value over the groups of each attribute, and of ``by``.
 
     ``metrics`` maps a column of the group table to the name reported. Only groups
     meeting ``eligible`` enter, but the rule of two groups counts all of them. Groups
     whose value is null are passed over; with none left there is no row.
-    Returns ``attribute, metric, value``.
+    Returns ``attribute``, the columns of ``by``, ``metric, value``.
     """
     _check_null_group(null_group)
     named = groups if null_group == "include" else groups.filter(F.col("group").isNotNull())
     gate = F.lit(True) if eligible is None else eligible
-    gaps = named.groupBy("attribute").agg(
+    gaps = named.groupBy("attribute", *by).agg(
         F.count(F.lit(1)).alias("__groups"),
         *[
             (F.max(F.when(gate, F.col(c))) - F.min(F.when(gate, F.col(c)))).alias(name)
@@ -190,7 +237,7 @@ def disparity(
     )
     return (
         gaps.filter(F.col("__groups") >= 2)
-        .unpivot(["attribute"], list(metrics.values()), "metric", "value")
+        .unpivot(["attribute", *by], list(metrics.values()), "metric", "value")
         .filter(F.col("value").isNotNull())
     )
 
@@ -270,7 +317,7 @@ def calibration_bins(
     bins have no row.
     """
     values = {_SCORE: usable_score(df, _need_score(roles)), _Y: F.col(roles.label)}
-    binned = _stacked(df, roles, values).withColumn("bin", score_bin(F.col(_SCORE), bins, include_lowest))
+    binned = stacked_attributes(df, roles, values).withColumn("bin", score_bin(F.col(_SCORE), bins, include_lowest))
     return (
         binned.filter(F.col("bin").isNotNull())
         .groupBy(*_KEYS, "bin")
@@ -292,7 +339,7 @@ def calibration_means(df: DataFrame, roles: AuditRoles) -> DataFrame:
     A NaN score is passed over like a null one.
     """
     values = {_SCORE: usable_score(df, _need_score(roles)), _Y: F.col(roles.label)}
-    return _stacked(df, roles, values).groupBy(*_KEYS).agg(
+    return stacked_attributes(df, roles, values).groupBy(*_KEYS).agg(
         F.avg(_SCORE).alias("mean_predicted"), F.avg(_Y).alias("mean_actual")
     )
 
@@ -311,29 +358,54 @@ def bias_report(
     rows have a null group and ``is_disparity`` set, so that they cannot be taken for the
     row of a null group.
 
-    The data is read once. Rows are counted per cell (attribute, group, label,
-    prediction, bin), of which there are few, as labels and predictions are classes;
-    cells are combined per bin, bins per group, and groups per attribute.
-    ``pre_aggregate`` is as in ``confusion_by_group``, ``include_lowest`` as in
-    ``calibration_bins``.
+    The data is read once, into the cells of ``audit_cells``; cells are combined per bin,
+    bins per group, and groups per attribute. ``pre_aggregate`` is as in
+    ``confusion_by_group``, ``include_lowest`` as in ``calibration_bins``.
     """
     _check_null_group(null_group)
+    return report_from_cells(audit_cells(df, roles, bins, pre_aggregate, include_lowest), null_group)
+
+
+def audit_cells(
+    df: DataFrame,
+    roles: AuditRoles,
+    bins: int = 10,
+    pre_aggregate: bool = False,
+    include_lowest: bool = False,
+    exact: bool = False,
+) -> DataFrame:
+    """Rows counted per cell: ``attribute, group, label, prediction`` and, when the roles name
+    a score, ``bin``; ``n`` rows, of which ``scored`` have a score, with the sum ``score_sum``.
+
+    Labels and predictions are classes, so there are few cells. Everything a report says
+    follows from them. With ``exact`` sums are decimals of 18 places, so that cells added and
+    taken back in any order are the same to the last digit.
+    """
     require_columns(df, [c for c in roles.columns() if c != roles.id])
-    has_score = roles.score is not None
     keys = {_Y: F.col(roles.label), _YHAT: F.col(roles.prediction)}
     sums = {}
-    if has_score:
+    if roles.score is not None:
         score = usable_score(df, roles.score)
         keys[_BIN] = score_bin(score, bins, include_lowest)
-        sums = {_SCORE: score, "__scored": F.when(score.isNotNull(), 1).otherwise(0)}
+        amount = score.cast("decimal(38,18)") if exact else score
+        sums = {_SCORE: amount, _SCORED: F.when(score.isNotNull(), 1).otherwise(0)}
     if pre_aggregate:
         rows = _combinations(df, roles, keys, sums)
-        stacked = _stacked(rows, roles, {c: F.col(c) for c in (*keys, *sums, _N)})
+        stacked = stacked_attributes(rows, roles, {c: F.col(c) for c in (*keys, *sums, _N)})
     else:
-        stacked = _stacked(df, roles, {**keys, **sums, _N: F.lit(1)})
+        stacked = stacked_attributes(df, roles, {**keys, **sums, _N: F.lit(1)})
     cells = stacked.groupBy(*_KEYS, *keys).agg(*[F.sum(c).alias(c) for c in (_N, *sums)])
+    return cells.withColumnsRenamed({hidden: shown for hidden, shown in CELL_NAMES.items() if hidden in cells.columns})
+
+
+def report_from_cells(cells: DataFrame, null_group: str = "exclude") -> DataFrame:
+    """The report of ``bias_report`` from the cells that ``audit_cells`` counts."""
+    _check_null_group(null_group)
+    cells = cells.withColumnsRenamed({shown: hidden for hidden, shown in CELL_NAMES.items()})
+    has_score = _BIN in cells.columns
+    sums = [_SCORE, _SCORED] if has_score else []
 
-    y, yhat, n = F.col(_Y).cast("double"), F.col(_YHAT).cast("double"), F.col(_N)
+    y, yhat, n = (not_nan(F.col(c).cast("double")) for c in (_Y, _YHAT, _N))
     totals = [
         *_confusion_aggregates(_N),
         F.sum(F.when(y == 1, n).otherwise(0)).alias("positives"),
@@ -343,7 +415,7 @@ def bias_report(
         F.sum(F.when(y.isNotNull(), n).otherwise(0)).alias("y_n"),
         *[F.sum(c).alias(c) for c in sums],
     ]
-    mean_score = F.try_divide(F.col(_SCORE), F.col("__scored"))
+    mean_score = F.try_divide(F.col(_SCORE).cast("double"), F.col(_SCORED))
     mean_label = F.try_divide(F.col("y_sum"), F.col("y_n"))
     curve = []
     if has_score:
