@@ -11,6 +11,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 INDEXED_SUFFIX = "_indexed"
 ASSEMBLED = "features"
@@ -37,6 +38,38 @@ def string_index_stage(columns: Sequence[str]) -> StringIndexer:
     )
 
 
+def string_index_table(df: DataFrame, column: str, ranges: int = 200, sample: int = 20_000) -> DataFrame:
+    """``value, n, index`` of every value of a column: the numbers that ``string_index_stage``
+    gives, as a table, for columns of any number of values.
+
+    Nothing but a bounded sample of values, which cuts the work to ranges, reaches the driver.
+    Values of one frequency are numbered inside each range; a window over one row for each
+    frequency and range tells how many come before. Any cuts give the same numbers.
+    """
+    counts = df.select(F.col(column).cast("string").alias("value")).filter("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    drawn = counts.select("value").orderBy(F.xxhash64("value"), "value").limit(sample).collect()
+    values = sorted(r.value for r in drawn)
+    cuts = sorted({values[len(values) * i // ranges] for i in range(1, ranges)}) if values else []
+    place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("value"))) if cuts else F.lit(0)
+    placed = counts.withColumn("range", place)
+    # As many rows as there are frequencies, times the ranges at most.
+    sizes = placed.groupBy("n", "range").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.orderBy(F.desc("n"), "range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("n", "range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("n", "range").orderBy("value")) - 1
+    numbered = placed.withColumn("own", own).join(offsets, ["n", "range"])
+    return numbered.select("value", "n", (F.col("before") + F.col("own")).cast("double").alias("index"))
+
+
+def apply_string_index(df: DataFrame, index: DataFrame, column: str, output: str | None = None) -> DataFrame:
+    """Add the index of each row's value; null and unknown values get the number of values."""
+    output = output or column + INDEXED_SUFFIX
+    unknown = index.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    known = index.select(F.col("value").alias("__value"), F.col("index").alias(output))
+    found = df.join(known, F.col(column).cast("string") == F.col("__value"), "left").drop("__value")
+    return found.withColumn(output, F.coalesce(F.col(output), unknown))
+
+
 def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), scale: bool = True) -> Pipeline:
     """Unfitted stages: index the categoricals, assemble everything, standardise.
 

@@ -72,3 +72,16 @@ def train_and_test(split: DataFrame, column: str = "split") -> tuple[DataFrame,
 def union_all(*tables: DataFrame) -> DataFrame:
     """All rows of all tables, columns matched by name, repeats kept."""
     return reduce(DataFrame.unionByName, tables)
+
+
+def multiset_difference(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Rows that one table has more often than the other, each once, with how often each has
+    it (``in_first``, ``in_second``).
+
+    Columns are matched by name; null equals null. Both tables are combined before the
+    shuffle, so a row that occurs very often is one row per task.
+    """
+    columns = first.columns
+    sides = [df.select(*columns, F.lit(a).alias("__a"), F.lit(b).alias("__b")) for df, a, b in ((first, 1, 0), (second, 0, 1))]
+    counts = sides[0].unionByName(sides[1]).groupBy(*columns).agg(F.sum("__a").alias("in_first"), F.sum("__b").alias("in_second"))
+    return counts.filter("in_first <> in_second")
