@@ -27,6 +27,11 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--pre-aggregate", action="store_true", help="for few attributes of few values")
     parser.add_argument("--include-lowest", action="store_true", help="a score of 0 is in the first bin")
     parser.add_argument("--null-group", choices=["exclude", "include"], default="exclude")
+    parser.add_argument("--infer-schema", action="store_true", help="types from the data, in one more pass")
+    parser.add_argument("--histogram-bins", type=int, default=30)
+    parser.add_argument("--sample-rows", type=int, default=100)
+    parser.add_argument("--shares-of", nargs="+", help="values whose shares are wanted, all by default")
+    parser.add_argument("--pair", nargs=2, help="groups to compare, the two largest by default")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("parityscope").getOrCreate()
@@ -37,6 +42,11 @@ def main(arguments: list[str] | None = None) -> None:
         spark,
         options.input,
         options.output,
+        **({"schema": None} if options.infer_schema else {}),
+        histogram_bins=options.histogram_bins,
+        sample_rows=options.sample_rows,
+        named_values=options.shares_of and tuple(options.shares_of),
+        pair=options.pair and tuple(options.pair),
         attributes=tuple(options.attributes),
         train_fraction=options.train_fraction,
         estimator=options.estimator,

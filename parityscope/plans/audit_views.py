@@ -33,6 +33,7 @@ SCHEMAS = {
     ),
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "labels": "doc_id bigint, quality int, toxic int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from parityscope.plans import state_oracles
+
 DOCS = """audit_docs AS (
   SELECT l.doc_id, l.quality AS label, CASE WHEN d.n_chars >= 1000 THEN 1 ELSE 0 END AS prediction,
          d.lang, d.source
@@ -42,10 +44,10 @@ SEPARABLE = f"""audit_lines AS (
   FROM (SELECT CASE WHEN c_nationkey < 12 THEN 1 ELSE 0 END AS label, c_mktsegment, o_orderpriority
         FROM orders JOIN customer ON o_custkey = c_custkey WHERE NOT {_is_train('o_orderkey')}))"""
 
-# Order lines with values that name no class, and scores that are none (null here).
+# Order lines with values that name no class; predictions and scores that are NaN are null here.
 ODD = LINES.replace("audit_lines AS", "plain_lines AS") + """, audit_lines AS (
   SELECT label, CASE WHEN place IN (9, 10) THEN NULL ELSE score END AS score,
-         CASE WHEN place IN (5, 6, 7) THEN NULL WHEN place = 8 THEN 2 ELSE prediction END AS prediction,
+         CASE WHEN place IN (6, 7) THEN NULL WHEN place = 5 THEN CAST(0.9 AS DOUBLE) WHEN place = 8 THEN 2 ELSE prediction END AS prediction,
          c_mktsegment, o_orderpriority
   FROM (SELECT *, CAST(round(score * 49) AS INTEGER) AS place FROM plain_lines))"""
 
@@ -85,7 +87,8 @@ _RATES = f"""{_ratio('tp', 'tp + fn')} AS tpr, {_ratio('fp', 'fp + tn')} AS fpr,
 
 def _metrics(source: str, view: str, attributes: Iterable[str]) -> str:
     return f"""{source}, {_counts(view, attributes)},
-metrics AS (SELECT attribute, "group", n, tp, fp, tn, fn, {_RATES}, positives, prediction_rate FROM counts)"""
+metrics AS (SELECT attribute, "group", n, tp, fp, tn, fn, {_RATES}, positives, prediction_rate,
+  {_ratio('tp', 'positives')} AS found_rate FROM counts)"""
 
 
 _METRIC_COLUMNS = (
@@ -143,7 +146,7 @@ def _means(attributes: Iterable[str]) -> str:
   FROM ({_stack('audit_lines', attributes, 'label, score')}) GROUP BY 1, 2)"""
 
 
-def _report(view: str = LINES, include_lowest: bool = False, only: str = "") -> str:
+def _report(view: str = LINES, include_lowest: bool = False) -> str:
     def rows(section: str, metric: str, value: str, table: str = "metrics", bin_number: str = "NULL") -> str:
         return (
             f"SELECT '{section}' AS section, attribute, \"group\", false AS is_disparity, "
@@ -172,12 +175,12 @@ def _report(view: str = LINES, include_lowest: bool = False, only: str = "") ->
         gaps("demographic_parity", "disparity", "prediction_rate"),
         gaps("equalized_odds", "tpr_disparity", "tpr"),
         gaps("equalized_odds", "fpr_disparity", "fpr"),
-        gaps("equal_opportunity", "disparity", "tpr", "positives > 0"),
+        gaps("equal_opportunity", "disparity", "found_rate", "positives > 0"),
     ]
     return (
         f"WITH {_metrics(view, 'audit_lines', LINE_ATTRIBUTES)}, "
         f"{_bins(LINE_ATTRIBUTES, include_lowest)}, {_means(LINE_ATTRIBUTES)} "
-        + " UNION ALL ".join(p for p in parts if only in p)
+        + " UNION ALL ".join(parts)
     )
 
 
@@ -320,6 +323,11 @@ def oracle_sql() -> dict[str, str]:
               {_is_train('o_orderkey')} AS train FROM orders JOIN customer ON o_custkey = c_custkey)
             SELECT o_orderkey, label, (SELECT round(avg(CAST(label AS DOUBLE)), 6) FROM src WHERE train) AS mean_training_score,
                    true AS is_probability, true AS prediction_fits FROM src WHERE NOT train""",
+        "logreg_cell_scores": f"""WITH src AS (SELECT o_orderkey, {split_orders} AS label, {_is_train('o_orderkey')} AS train,
+              o_totalprice > 150000 AS dear, c_acctbal > 4000 AS rich FROM orders JOIN customer ON o_custkey = c_custkey),
+            cells AS (SELECT dear, rich, avg(CAST(label AS DOUBLE)) AS score FROM src WHERE train GROUP BY 1, 2)
+            SELECT o_orderkey, label, CAST(CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction, round(score, 5) AS score
+            FROM src JOIN cells USING (dear, rich) WHERE NOT train""",
         "top_k_importance": """SELECT unnest(['c_nationkey', 'c_acctbal', 'c_mktsegment_indexed']) AS feature,
             unnest([CAST(1 AS DOUBLE), 0, 0]) AS importance""",
         "train_and_audit": _report(SEPARABLE),
@@ -339,11 +347,11 @@ def oracle_sql() -> dict[str, str]:
                    (SELECT auc FROM ({_AUC_LINES})) AS auc
             FROM class_metrics""",
         "auc_nan_scores": _auc(f"{ODD}, scored AS (SELECT label, score FROM audit_lines)"),
-        "class_metrics_odd_values": f"""WITH {ODD}, whole AS (SELECT * FROM audit_lines WHERE prediction IS NOT NULL),
+        "class_metrics_odd_values": f"""WITH {ODD}, whole AS (SELECT * REPLACE (CAST(prediction AS INTEGER) AS prediction) FROM audit_lines WHERE prediction = floor(prediction)),
             {_class_table('whole')}
             SELECT class, tp, actual, predicted, precision, recall, round(f1, 9) AS f1 FROM class_metrics""",
         "calibration_means_nan_scores": f"WITH {ODD}, {_means(LINE_ATTRIBUTES)} SELECT * FROM means",
-        "bias_report_nan_scores": _report(ODD, include_lowest=True, only="'calibration'"),
+        "bias_report_nan_scores": _report(ODD, include_lowest=True),
         "class_metrics": f"""WITH {DOCS}, {_class_table('audit_docs')}
             SELECT class, tp, actual, predicted, precision, recall, round(f1, 9) AS f1 FROM class_metrics""",
         "confusion_counts": f"""WITH {DOCS}, classes AS (SELECT unnest([0, 1, 2]) AS c)
@@ -413,4 +421,4 @@ def oracle_sql() -> dict[str, str]:
         "bias_report": _report(),
         "bias_report_combined": _report(),
     }
-    return sql
+    return sql | state_oracles.oracle_sql(_report())

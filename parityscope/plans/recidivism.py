@@ -132,6 +132,12 @@ class Audit:
     pre_aggregate: bool = False
     include_lowest: bool = False
     null_group: str = "exclude"
+    histogram_bins: int = 30
+    sample_rows: int = 100
+    #: Values whose shares are wanted, also where no row has them; all there are by default.
+    named_values: tuple[str, ...] | None = None
+    #: The two groups to compare; the two largest of each attribute by default.
+    pair: tuple[str, str] | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """Every result table by the name it is written under."""
@@ -144,7 +150,12 @@ class Audit:
             "group_metrics": self.group_metrics(),
             "pair_disparity": self.pair_disparity(),
             "bias_report": self.bias_report(),
+            "sample": self.sample(),
+            "age_histogram": self.age_histogram(),
         }
+        for attribute in self.roles.attributes:
+            made[f"shares_{attribute}"] = self.shares(attribute)
+            made[f"label_rates_{attribute}"] = self.label_rates(attribute)
         if hasattr(self.model.stages[-1], "featureImportances"):
             made["importances"] = self.importances()
         return made
@@ -160,13 +171,13 @@ class Audit:
         return profile.distribution(self.table, self.roles.attributes)
 
     def shares(self, attribute: str, values: list[str] | None = None) -> DataFrame:
-        return profile.share_of_total(self.table, attribute, values)
+        return profile.share_of_total(self.table, attribute, values or self.named_values)
 
-    def sample(self, n: int = 100) -> DataFrame:
-        return first_rows(clean.select_available(self.table, (ID, *DISPLAYED)), n, order_by=ID)
+    def sample(self, n: int | None = None) -> DataFrame:
+        return first_rows(clean.select_available(self.table, (ID, *DISPLAYED)), n or self.sample_rows, order_by=ID)
 
-    def age_histogram(self, bins: int = 30) -> DataFrame:
-        return profile.histogram(self.table, "age", bins)
+    def age_histogram(self, bins: int | None = None) -> DataFrame:
+        return profile.histogram(self.table, "age", bins or self.histogram_bins)
 
     def label_rates(self, attribute: str) -> DataFrame:
         return profile.rate_by_group(self.table, attribute, LABEL)
@@ -181,7 +192,7 @@ class Audit:
         return fairness.group_metrics(self.predictions, self.roles, self.pre_aggregate)
 
     def pair_disparity(self, pair: tuple[str, str] | None = None) -> DataFrame:
-        return fairness.severity(fairness.pair_disparity(self.group_metrics(), pair, self.null_group))
+        return fairness.severity(fairness.pair_disparity(self.group_metrics(), pair or self.pair, self.null_group))
 
     def bias_report(self) -> DataFrame:
         return fairness.bias_report(
@@ -204,6 +215,10 @@ def run(
     pre_aggregate: bool = False,
     include_lowest: bool = False,
     null_group: str = "exclude",
+    histogram_bins: int = 30,
+    sample_rows: int = 100,
+    named_values: tuple[str, ...] | None = None,
+    pair: tuple[str, str] | None = None,
     **settings,
 ) -> Audit:
     """Prepare, split, train, score and write; the returned audit reads what was written.
@@ -232,4 +247,7 @@ def run(
     columns = [ID, LABEL, "prediction", *attributes]
     write_predictions_csv(predictions, f"{output}/predictions", columns)
     counts = split.split_counts(sides, ID)
-    return Audit(fitted, table, predictions, roles, counts, pre_aggregate, include_lowest, null_group)
+    return Audit(
+        fitted, table, predictions, roles, counts, pre_aggregate, include_lowest, null_group,
+        histogram_bins, sample_rows, named_values, pair,
+    )

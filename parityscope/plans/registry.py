@@ -23,6 +23,7 @@ from parityscope.functions import (
     row_sum,
 )
 from parityscope.operators import clean, evaluate, fairness, features, model, profile, split
+from parityscope.plans import state_queries
 from parityscope.plans.audit_views import (
     DOCS_ROLES,
     LINES_ROLES,
@@ -304,8 +305,9 @@ def rf_train_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def logreg_train_score(spark: SparkSession, folder: str) -> DataFrame:
-    """All test rows. Where the fit has converged, the mean score of the training rows is the
-    mean of their labels, as the intercept is not penalised."""
+    """All test rows with prediction and score, which follow from no SQL; tests compare them with
+    another fit. Where the fit has converged, the mean score of the training rows is the mean
+    of their labels, as the intercept is not penalised."""
     train, test = _split(audit_orders(spark, folder))
     fitted = model.fit_classifier(
         train, "label", ORDERS_NUMERIC, ORDERS_CATEGORICAL, "logreg", order_by="o_orderkey",
@@ -321,6 +323,21 @@ def logreg_train_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def logreg_cell_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Prediction and score of all test rows. With two flags and their product as features and
+    no penalty, the likeliest score of a row is the mean label of the training rows of its flags."""
+    orders = audit_orders(spark, folder).withColumns(
+        {"dear": flag(F.col("o_totalprice") > 150_000), "rich": flag(F.col("c_acctbal") > 4_000)}
+    )
+    orders = orders.withColumn("both", F.col("dear") * F.col("rich"))
+    train, test = _split(orders.select("o_orderkey", "label", "dear", "rich", "both"))
+    fitted = model.fit_classifier(
+        train, "label", ["dear", "rich", "both"], [], "logreg", order_by="o_orderkey", regParam=0.0, maxIter=500, tol=1e-14
+    )
+    scored = model.score(fitted, test).select("o_orderkey", "label", "prediction", "score")
+    return _rounded(scored, "score", digits=5)
+
+
 def top_k_importance(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = _split(_separable(spark, folder))
     return model.feature_importance(_fit_forest(train), spark, k=3)
@@ -397,7 +414,7 @@ def calibration_means_nan_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def bias_report_nan_scores(spark: SparkSession, folder: str) -> DataFrame:
     report = fairness.bias_report(_odd_lines(spark, folder), LINES_ROLES, include_lowest=True)
-    return _rounded(report.filter("section = 'calibration'"), "value")
+    return _rounded(report, "value")
 
 
 def _odd_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -565,7 +582,7 @@ _QUERIES: tuple[Query, ...] = (
     threshold_flags, row_sum_interactions, class_filter,
     string_index, assemble_skip, assembly_report, standardize, feature_set,
     stratified_split, union_all,
-    rf_train_score, logreg_train_score, top_k_importance, model_save_load, train_and_audit,
+    rf_train_score, logreg_train_score, logreg_cell_scores, top_k_importance, model_save_load, train_and_audit,
     auc, auc_many_scores, auc_nan_scores, classification_metrics, class_metrics, class_metrics_odd_values,
     confusion_counts, confusion_matrix,
     summary_stats, distribution, distinct_groups, share_of_total, share_of_named,
@@ -580,4 +597,4 @@ _QUERIES: tuple[Query, ...] = (
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in _QUERIES} | state_queries.queries()

@@ -14,7 +14,7 @@ QUERIES = registry.queries()
 ORACLES = oracles.oracle_sql()
 TYPE_NAMES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
 }
 
 

@@ -12,7 +12,7 @@ from parityscope.operators import evaluate, fairness, split
 from parityscope.plans import registry
 from parityscope.plans.audit_views import LINES_ROLES, audit_lines, table
 
-TRAINED = {"rf_train_score", "logreg_train_score", "top_k_importance", "model_save_load",
+TRAINED = {"rf_train_score", "logreg_train_score", "logreg_cell_scores", "top_k_importance", "model_save_load",
            "train_and_audit", "feature_set", "string_index"}
 NOT_WANTED = re.compile(
     "BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroups|CartesianProduct|BroadcastNestedLoopJoin"
