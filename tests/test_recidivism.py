@@ -203,3 +203,18 @@ def test_bad_text_in_a_number_is_null(spark, tmp_path):
     path.write_text("id,sex,age,race,two_year_recid,priors_n\n1,Male,x,Asian,1,3\n2,Male,30,Asian,1,y\n3,Male,31,Asian,0,4\n")
     rows = recidivism.prepared(spark, str(path)).orderBy("id").collect()
     assert [(r.id, r.age, r.priors_count) for r in rows] == [(2, 30, 0), (3, 31, 4)]
+
+
+def test_command_line_options_of_the_tables(spark, csv_path, tmp_path):
+    command_line.main([
+        "--input", csv_path, "--output", str(tmp_path), "--trees", "2", "--depth", "2", "--infer-schema", "--histogram-bins", "5",
+        "--sample-rows", "7", "--shares-of", "Caucasian", "Nobody", "--pair", "Caucasian", "Other",
+    ])
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}")
+    assert read("sample").count() == 7 and read("age_histogram").count() == 5
+    assert read("age_histogram").agg({"n": "sum"}).first()[0] == ROWS - 1
+    shares = {r.race_binary: r.n for r in read("shares_race_binary").collect()}
+    assert shares["Nobody"] == 0 and 0 < shares["Caucasian"] < ROWS and len(shares) == 2
+    rates = read("label_rates_sex").collect()
+    assert {r.sex for r in rates} == {"Male", "Female"} and all(0 < r.rate < 1 for r in rates)
+    assert {r.attribute for r in read("pair_disparity").collect()} == {"race_binary"}
