@@ -88,8 +88,8 @@ class AuditStore:
         """The cells as the next version, which is also the next of those that failed."""
         version = max(self._numbers("version", ended=False), default=0) + 1
         fields = [F.lit(batch).alias("batch") if f.name == "batch" else _field(cells, f) for f in self._schema]
-        # Cells are few: one file.
-        cells.select(*fields).coalesce(1).write.parquet(f"{self._path}/version={version}")
+        # Cells are few: one file, behind a shuffle, so that no single task counts them all.
+        cells.select(*fields).repartition(1).write.parquet(f"{self._path}/version={version}")
         return version
 
     def add(self, cells: DataFrame, batch: str) -> int | None:
@@ -111,7 +111,7 @@ class AuditStore:
         if versions[-1] not in self._numbers("snapshot"):
             cells = self.cells()
             fields = [F.lit(None).cast("string").alias("batch") if f.name == "batch" else F.col(f"`{f.name}`") for f in self._schema]
-            cells.select(*fields).coalesce(1).write.mode("overwrite").parquet(f"{self._path}/snapshot={versions[-1]}")
+            cells.select(*fields).repartition(1).write.mode("overwrite").parquet(f"{self._path}/snapshot={versions[-1]}")
         return versions[-1]
 
     def cells(self, version: int | None = None) -> DataFrame:

@@ -8,8 +8,9 @@ dropped by Spark and counted (``late_rows``), rows within the delay change their
 Spark judges lateness by the watermark that the trigger before began with.
 
 Every trigger writes the cells that changed, with their totals so far, as one folder of
-the sink. A trigger that is run again after a failure overwrites its own folder, so each
-row counts once. The newest totals of all cells are a table of cells like any other:
+the sink, in at most ``files`` files; each partition of the state stays a task of its own.
+A trigger that is run again after a failure overwrites its own folder, so each row counts
+once. The newest totals of all cells are a table of cells like any other:
 ``report_from_cells`` gives the report of the whole stream or of some windows.
 """
 
@@ -67,12 +68,15 @@ def start_audit_stream(
     delay: str = "1 day",
     bins: int = 10,
     include_lowest: bool = False,
+    files: int = 8,
     **trigger: object,
 ) -> StreamingQuery:
     """Start the audit; ``trigger`` as in ``DataStreamWriter.trigger`` (``availableNow=True``)."""
 
     def write(cells: DataFrame, number: int) -> None:
-        cells.withColumn("trigger", F.lit(number).cast("long")).coalesce(1).write.mode("overwrite").parquet(f"{path}/trigger={number}")
+        # A shuffle: coalescing would load the state's partitions in as few tasks.
+        changed = cells.withColumn("trigger", F.lit(number).cast("long")).repartition(files, *_KEYS)
+        changed.write.mode("overwrite").parquet(f"{path}/trigger={number}")
 
     cells = window_cells(stream, roles, time, width, delay, bins, include_lowest)
     writer = cells.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)

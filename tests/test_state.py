@@ -14,6 +14,8 @@ from parityscope.operators import fairness, features, sketches, split
 from parityscope.operators.asof import asof_join
 from parityscope.operators.audit_state import AuditStore
 from parityscope.operators.drift import rolling_disparity, rolling_metrics
+from parityscope.plans import state_queries
+from parityscope.plans.audit_views import LINES_ROLES
 from parityscope.sources import read_csv
 from parityscope.streaming import latest_cells, late_rows, start_audit_stream, window_cells
 
@@ -152,6 +154,41 @@ def test_a_stream_that_starts_again_counts_nothing_twice(spark, tmp_path):
     assert _facts(cells) == _facts(window_cells(_table(spark, sum(files, [])), ROLES, "at", "1 day", "30 days"))
 
 
+def test_partitions_of_the_state_are_tasks_of_their_own(spark, tmp_path):
+    query, _ = _stream(spark, tmp_path, [_rows(200, 1, days=5)], "30 days")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(job).stageIds]
+    assert max(s.numTasks for s in stages if s is not None) == 8
+
+
+def test_a_stream_of_joined_lines_is_not_written_by_one_task(spark, tmp_path, monkeypatch):
+    """The whole query on rows of its own, where nothing merges or broadcasts small partitions."""
+    draw = random.Random(4)
+    tables = {
+        "customer": ([(c, draw.choice(["a", "b", None])) for c in range(20)], "c_custkey bigint, c_mktsegment string"),
+        "orders": (
+            [(o, draw.randrange(20), draw.choice(["1-URGENT", "5-LOW"]), dt.datetime(1998, 1, 1) + dt.timedelta(days=draw.randrange(300))) for o in range(200)],
+            "o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_orderdate timestamp_ntz",
+        ),
+        "lineitem": ([(draw.randrange(200), float(draw.randrange(1, 51)), draw.choice("RAN")) for _ in range(600)], "l_orderkey bigint, l_quantity double, l_returnflag string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(state_queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = state_queries.streaming_audit(spark, str(tmp_path))
+        want = fairness.bias_report(state_queries._dated_lines(spark, str(tmp_path)), LINES_ROLES).withColumn("value", F.round("value", 6))
+        assert _report(found) == _report(want)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "stream" / "in").glob("part-*.parquet"))) > 3
+
+
 def _brute_intersections(rows, names, depth, least):
     found = {}
     for size in range(1, depth + 1):
