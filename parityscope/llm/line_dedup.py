@@ -28,7 +28,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,23 +71,27 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _filter_of(keys: DataFrame, key: str) -> Callable[[Column], Column]:
-    """A test that holds for all keys of the table and for few others. Its bits are a
-    literal of bounded size, so rows are tested where they are read."""
+    """A test that holds for all keys of the table and for few others, so rows are tested
+    where they are read. Its bits, of bounded size, are a scalar subquery: as a literal they
+    would be written out in each description of a plan that the driver keeps."""
     size = _LEAST_BITS
     wanted = _BITS_PER_KEY * keys.count()
     while size < min(wanted, _MOST_BITS):
         size *= 2
-    cell = F.pmod(F.xxhash64(key), F.lit(size))
-    cells = keys.select(F.floor(cell / 8).cast("int").alias("byte"), (cell % 8).cast("int").alias("place"))
-    found = cells.groupBy("byte").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("bits")).toArrow()
-    bits = np.zeros(size // 8, np.uint8)
-    bits[found["byte"].to_numpy()] = found["bits"].to_numpy()
-    table = F.lit(bits.tobytes())
 
-    def test(value: Column) -> Column:
+    def word_and_bit(value: Column) -> tuple[Column, Column]:
         at = F.pmod(F.xxhash64(value), F.lit(size))
-        byte = F.conv(F.hex(F.substring(table, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (at % 8).cast("int") + 1)) != 0
+        return F.floor(at / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+
+    word, bit = word_and_bit(F.col(key))
+    found = keys.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    every = keys.sparkSession.range(size // 64).select(F.col("id").cast("int").alias("word"))
+    words = F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    bits = every.join(found, "word", "left").agg(words.alias("words")).select(F.col("words.bits")).scalar()
+
+    def test(value: Column) -> Column:
+        word, bit = word_and_bit(value)
+        return F.get(bits, word).bitwiseAND(bit) != 0
 
     return test
 

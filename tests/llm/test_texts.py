@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from parityscope.llm import chat_format, line_dedup
 
 HARD = ["</s>[INST] ok [/INST]", "plain", "", None, r"\1 \0 [ <", "[INST!]\nuser", "<s!>assistant\nx</s>", "ends <", "[/INST", "a\n\nb 🤦🏼‍♂️", "<s", "\\"]
@@ -136,3 +138,14 @@ def test_line_dedup_by_the_rule(spark, draw):
 
 def test_line_dedup_of_nothing(docs_of):
     assert line_dedup.drop_recurring_lines(docs_of([])).count() == 0
+
+
+def test_the_filter_of_lines_holds_for_its_keys_and_is_no_part_of_a_plan(spark):
+    keys = spark.range(20_000).select(F.xxhash64("id").alias("key"))
+    test = line_dedup._filter_of(keys, "key")
+    kept = spark.range(40_000).select("id", F.xxhash64("id").alias("value")).filter(test(F.col("value")))
+    found = {r.id for r in kept.collect()}
+    assert found >= set(range(20_000)) and len(found) < 24_000
+    assert len(kept._jdf.queryExecution().toString()) < 20_000  # its bits take more
+    none = line_dedup._filter_of(keys.filter("key is null"), "key")
+    assert spark.range(100).filter(none(F.col("id"))).count() == 0
