@@ -55,6 +55,25 @@ class PieceTable:
         self.ends_chunk = {c for c in "\n\t" if c not in set(self.pieces[: len(chars)])}
         self._pair_up(len(chars))
         self.length = np.array([len(p) for p in self.pieces], np.int64)
+        self.points = np.frombuffer("".join(self.pieces).encode("utf-32-le"), np.uint32).astype(np.int64)
+        self.begins = np.concatenate(([0], np.cumsum(self.length)[:-1]))
+
+    def letters(self, alphabet: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces written in an alphabet (sorted code points) alone, in ascending order,
+        and the numbers of their letters from 1, one row each, filled with 0 to a multiple of
+        ``width``."""
+        if not len(alphabet):
+            return np.zeros(0, np.int64), np.zeros((0, 0), np.int64)
+        letter = np.searchsorted(alphabet, self.points)
+        letter[letter == len(alphabet)] = 0
+        letter = np.where(alphabet[letter] == self.points, letter + 1, 0)
+        wanted = np.flatnonzero(self.reachable & (np.minimum.reduceat(letter, self.begins) > 0))
+        length = self.length[wanted]
+        rows = np.zeros((len(wanted), -(-int(length.max(initial=0)) // width) * width), np.int64)
+        row = np.repeat(np.arange(len(wanted)), length)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+        rows[row, place] = letter[np.repeat(self.begins[wanted], length) + place]
+        return wanted, rows
 
     def _pair_up(self, n_chars: int) -> None:
         """For each merge the two pieces that it joins, by merging its text in order."""
@@ -115,12 +134,10 @@ def _edges(codes: np.ndarray, table: PieceTable, alphabet: np.ndarray) -> tuple[
     by binary search in the text's suffix array."""
     bits = max(1, int(len(alphabet)).bit_length())
     per_key = 62 // bits
-    letter = {chr(c): i + 1 for i, c in enumerate(alphabet.tolist())}
-    wanted = [t for t in range(table.n) if table.reachable[t] and all(c in letter for c in table.pieces[t])]
-    deepest = max((len(table.pieces[t]) for t in wanted), default=0)
-    if not wanted:
+    wanted, letters = table.letters(alphabet, per_key)
+    if not len(wanted):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    n_keys = -(-deepest // per_key)
+    length, n_keys = table.length[wanted], letters.shape[1] // per_key
     padded = np.concatenate((codes, np.zeros(n_keys * per_key, np.int64)))
     keys = []
     for k in range(n_keys):
@@ -130,49 +147,41 @@ def _edges(codes: np.ndarray, table: PieceTable, alphabet: np.ndarray) -> tuple[
         keys.append(key)
     suffixes = np.lexsort(keys[::-1])
     starts, pieces = [], []
-    # Ranks of all keys up to one, so that a piece longer than one key is one number too.
-    rank = np.zeros(len(codes), np.int64)
-    rank_of = {(): 0}
+    # Ranks of all keys up to one, so that a piece longer than one key is one number too:
+    # that of each position, and that of each piece's own first keys, -1 if no text has them.
+    rank, rank_of = np.zeros(len(codes), np.int64), np.zeros(len(wanted), np.int64)
     for k in range(n_keys):
         values, place = np.unique(keys[k], return_inverse=True)
         combined = (rank * (len(values) + 1) + place)[suffixes]
-        following: dict[tuple, int] = {}
-        lows, highs, here = [], [], []
-        for t in wanted:
-            piece = table.pieces[t]
-            part = [letter[c] for c in piece[k * per_key : (k + 1) * per_key]]
-            if not part or piece[: k * per_key] not in rank_of and k:
-                continue
-            low = 0
-            for code in part:
-                low = low << bits | code
-            shift = bits * (per_key - len(part))
-            if len(piece) <= (k + 1) * per_key:
-                here.append((t, rank_of[piece[: k * per_key] if k else ()], low << shift, ((low + 1) << shift) - 1))
-            else:
-                following.setdefault(piece[: (k + 1) * per_key], (rank_of[piece[: k * per_key] if k else ()], low))
-        if here:
-            which, before, lows, highs = (np.array(v) for v in zip(*here, strict=True))
-            base = before * (len(values) + 1)
+        low = np.zeros(len(wanted), np.int64)
+        for i in range(k * per_key, (k + 1) * per_key):
+            low = low << bits | letters[:, i]
+        here = np.flatnonzero((rank_of >= 0) & (length > k * per_key) & (length <= (k + 1) * per_key))
+        if len(here):
+            lows = low[here]
+            highs = lows | ((1 << bits * ((k + 1) * per_key - length[here])) - 1)
+            base = rank_of[here] * (len(values) + 1)
             first = np.searchsorted(combined, base + np.searchsorted(values, lows, side="left"))
             last = np.searchsorted(combined, base + np.searchsorted(values, highs, side="right"))
             counts = last - first
             at = np.repeat(first - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
             starts.append(suffixes[at])
-            pieces.append(np.repeat(which, counts))
-        if not following:
+            pieces.append(np.repeat(wanted[here], counts))
+        following = np.flatnonzero((rank_of >= 0) & (length > (k + 1) * per_key))
+        if not len(following):
             break
-        dense, inverse = np.unique(combined, return_inverse=True)
-        rank[suffixes] = inverse
-        rank_of = {}
-        for text, (before, low) in following.items():
-            value = np.searchsorted(values, low)
-            if value < len(values) and values[value] == low:
-                key = before * (len(values) + 1) + value
-                found = np.searchsorted(dense, key)
-                if found < len(dense) and dense[found] == key:
-                    rank_of[text] = int(found)
-    return np.concatenate(starts), np.concatenate(pieces)
+        # In the order of the suffixes the keys so far ascend.
+        new = np.concatenate(([True], combined[1:] != combined[:-1]))
+        dense = combined[new]
+        rank[suffixes] = np.cumsum(new) - 1
+        value = np.searchsorted(values, low[following])
+        key = rank_of[following] * (len(values) + 1) + value
+        found = np.searchsorted(dense, key)
+        known = np.append(values, -1)[value] == low[following]
+        known &= np.append(dense, -1)[found] == key
+        rank_of[:] = -1
+        rank_of[following[known]] = found[known]
+    return np.concatenate([np.zeros(0, np.int64), *starts]), np.concatenate([np.zeros(0, np.int64), *pieces])
 
 
 def encode_chunks(chunks: list[str], table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
@@ -194,9 +203,11 @@ def encode_chunks(chunks: list[str], table: PieceTable) -> tuple[np.ndarray, np.
     end = start + np.append(table.length, 1)[piece]
     chunk_begin = np.repeat(begins, lengths + 1)
     depth = end - chunk_begin[start]
+    deepest = int(lengths.max(initial=0))
+    depth = depth.astype(np.uint16 if deepest < 1 << 16 else np.int64)  # a stable sort of 16 bits takes linear time
     order = np.argsort(depth, kind="stable")
     start, piece, end = start[order], piece[order], end[order]
-    rounds = np.searchsorted(depth[order], np.arange(1, int(lengths.max(initial=0)) + 2))
+    rounds = np.searchsorted(depth[order], np.arange(1, deepest + 2))
     last, back = np.full(len(points) + 1, -1), np.zeros(len(points) + 1, np.int64)
     for a, b in zip(rounds, rounds[1:], strict=False):
         s, t, e = start[a:b], piece[a:b], end[a:b]

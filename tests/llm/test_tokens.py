@@ -1,5 +1,6 @@
 """Token ids, files and packs against the tokenizers and sentencepiece libraries."""
 
+import sys
 import zlib
 from collections import Counter
 
@@ -80,6 +81,19 @@ def _model():
     return _KEPT.setdefault("model", None) or _KEPT.update(model=SentencePieceProcessor(model_file=PIECE)) or _KEPT["model"]
 
 
+def test_a_small_batch_does_not_loop_over_the_vocabulary():
+    """Calls made for three chunks; each piece of the vocabulary took some of them before."""
+    table, calls = _piece_encoder().table, []
+    sys.setprofile(lambda frame, event, argument: calls.append(event))
+    try:
+        ids, ends = piece_codec.encode_chunks([" ab", "", " information"], table)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < table.n / 4
+    model = SentencePieceProcessor(model_file=PIECE)
+    assert ids.tolist() == model.encode("ab information") and ends[1] == ends[2]
+
+
 def test_piece_codec(spark, docs_of):
     docs = docs_of([*HARD, HARD[2]], ids=list(range(len(HARD) + 1))).repartition(3)
     rows = piece_codec.decode(piece_codec.encode(docs, PIECE), PIECE).collect()
