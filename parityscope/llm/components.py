@@ -26,12 +26,14 @@ def connected(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) of every node of links (``u``, ``v``).
 
     A node's neighbours are never gathered: each star is a minimum per node, aggregated
-    before the shuffle, and a join back. Each round is written, so lineage stays short.
+    before the shuffle, and a join back. Each star is written, so lineage stays short, and
+    so do the plans: a star reads its links several times, and the driver keeps each node.
     """
     links = links.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    links = written(links, "links")
     seen = None
     while True:
-        links = written(_small_star(_large_star(links)), "links")
+        links = written(_small_star(written(_large_star(links), "links")), "links")
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -73,7 +73,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _filter_of(keys: DataFrame, key: str) -> Callable[[Column], Column]:
     """A test that holds for all keys of the table and for few others, so rows are tested
     where they are read. Its bits, of bounded size, are a scalar subquery: as a literal they
-    would be written out in each description of a plan that the driver keeps."""
+    would be written out in each description of a plan that the driver keeps. They are
+    written once: a plan holds the subquery at every use, and the driver keeps each of its nodes."""
     size = _LEAST_BITS
     wanted = _BITS_PER_KEY * keys.count()
     while size < min(wanted, _MOST_BITS):
@@ -87,7 +88,7 @@ def _filter_of(keys: DataFrame, key: str) -> Callable[[Column], Column]:
     found = keys.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     every = keys.sparkSession.range(size // 64).select(F.col("id").cast("int").alias("word"))
     words = F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
-    bits = every.join(found, "word", "left").agg(words.alias("words")).select(F.col("words.bits")).scalar()
+    bits = written(every.join(found, "word", "left").agg(words.alias("words")).select("words.bits"), "filter").scalar()
 
     def test(value: Column) -> Column:
         word, bit = word_and_bit(value)

@@ -30,6 +30,7 @@ has a null component; an empty table gives no rows; other columns are passed ove
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -94,22 +95,27 @@ def _add_blocks(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -
     total = np.zeros(_BLOCK, np.int64)
     for batch in batches:
         total += batch.column("counts").flatten().to_numpy().reshape(-1, _BLOCK).sum(axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([total], pa.list_(pa.int64()))], ["block", "counts"])
+    packed = zlib.compress(total.tobytes(), 1)
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([packed], pa.binary())], ["block", "packed"])
 
 
-def run_counts(docs: DataFrame) -> np.ndarray:
-    """Of all documents' runs, how many fall in each cell."""
+def run_counts(docs: DataFrame) -> dict[int, bytes]:
+    """Of all documents' runs, how many fall in each cell: the blocks of cells that hold
+    any, packed. So they pass the driver and go to the tasks, see ``_unpacked``."""
     rows = (
         docs.select("text")
         .mapInArrow(_count_cells, "block long, counts array<long>")
         .groupBy("block")
-        .applyInArrow(_add_blocks, "block long, counts array<long>")
+        .applyInArrow(_add_blocks, "block long, packed binary")
         .toArrow()
-        .combine_chunks()
     )
-    total = np.zeros((1 << CELL_BITS) // _BLOCK * _BLOCK, np.int64).reshape(-1, _BLOCK)
-    if rows.num_rows:
-        total[rows["block"].to_numpy()] = rows["counts"].combine_chunks().flatten().to_numpy().reshape(-1, _BLOCK)
+    return dict(zip(rows["block"].to_pylist(), rows["packed"].to_pylist(), strict=True))
+
+
+def _unpacked(blocks: dict[int, bytes]) -> np.ndarray:
+    total = np.zeros(((1 << CELL_BITS) // _BLOCK, _BLOCK), np.int64)
+    for block, packed in blocks.items():
+        total[block] = np.frombuffer(zlib.decompress(packed), np.int64)
     return total.ravel()
 
 
@@ -143,11 +149,12 @@ def _measured() -> TextFunction:
     return measure
 
 
-def _prefixed(counts: np.ndarray):
-    # What a cell holds besides the run in question: its load, and chance on top of it.
-    usual = counts.mean() + 3 * np.sqrt(counts.mean()) + 1
-
+def _prefixed(blocks: dict[int, bytes]):
     def make() -> TextFunction:
+        counts = _unpacked(blocks)
+        # What a cell holds besides the run in question: its load, and chance on top of it.
+        usual = counts.mean() + 3 * np.sqrt(counts.mean()) + 1
+
         def sign(texts: Texts) -> list[pa.Array]:
             digests, matches, rare, prefixes = [], [], [], []
             for runs in shingle_sets(texts):
@@ -394,6 +401,7 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     """
     docs, restore = aside(docs, ("doc_id", "text"))
     kept = linked(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = written(kept, "kept")
     rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"))
     nth = F.row_number().over(Window.partitionBy("kept_id").orderBy("text"))
     named = rows.withColumn("kept_nth", nth).filter("kept_nth = 1").select(*docs.columns)

@@ -3,10 +3,12 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from parityscope.llm import ann, components, ngram_join
+from parityscope.llm.text_bytes import Texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -94,6 +96,17 @@ def test_ngram_join_with_a_run_in_very_many_documents(docs_of, draw):
     assert (found[20_000], found[20_001]) == (0, 10)
 
 
+def test_run_counts_are_packed_for_the_driver(docs_of, draw):
+    """The 8 MB of all cells neither pass the driver nor go to the tasks as they are."""
+    texts = [" ".join(f"w{v}" for v in row) for row in draw.integers(0, 50, (300, 12))] + ["", None, "a b", "a b"]
+    blocks = ngram_join.run_counts(docs_of(texts).repartition(3))
+    assert sum(map(len, blocks.values())) < 200_000
+    sets = list(ngram_join.shingle_sets(Texts.of(pa.array(texts, pa.string()))))
+    plain = np.bincount(ngram_join._cells(np.concatenate(sets)), minlength=1 << ngram_join.CELL_BITS)
+    assert (ngram_join._unpacked(blocks) == plain).all()
+    assert not ngram_join._unpacked(ngram_join.run_counts(docs_of([]))).any()
+
+
 def test_prefix_shares_enough(draw):
     """Similar sets share as many runs of their prefixes as the longer match asks."""
     counts = draw.integers(0, 50, 1 << ngram_join.CELL_BITS)

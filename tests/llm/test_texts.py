@@ -149,3 +149,12 @@ def test_the_filter_of_lines_holds_for_its_keys_and_is_no_part_of_a_plan(spark):
     assert len(kept._jdf.queryExecution().toString()) < 20_000  # its bits take more
     none = line_dedup._filter_of(keys.filter("key is null"), "key")
     assert spark.range(100).filter(none(F.col("id"))).count() == 0
+
+
+def test_a_plan_holds_the_filter_of_lines_as_a_read(spark):
+    """Each use of a filter repeats its subquery, so it is written once, not made there."""
+    keys = spark.range(1000).select(F.xxhash64("id").alias("key"))
+    kept = spark.range(2000).filter(line_dedup._filter_of(keys, "key")(F.xxhash64("id")))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ubquery" in plan and "Exchange" not in plan and "Aggregate" not in plan
+    assert kept.filter("id < 1000").count() == 1000
