@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +79,27 @@ def test_lexical_search_of_nothing(spark):
     assert _ranks(spark, [(1, None)], [(1, "a")]) == [] and _ranks(spark, [(1, "a b"), (2, "b")], [(1, None)]) == []
 
 
+def test_lexical_index_is_read_by_few_shards(spark, draw, monkeypatch):
+    """One task writes all shards; a reader of them must not hold them all."""
+    monkeypatch.setattr(lexical_search, "SHARD_BYTES", 1 << 18)
+    before = spark.conf.getAll
+    rows = [(i, " ".join(map(str, draw.integers(0, 10**9, 4000)))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    index = lexical_search.build(docs)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    assert sum(m.num_rows for m in files) > 40 and all(m.num_row_groups == m.num_rows for m in files)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n_bytes"])
+
+    read = [r.n_bytes for r in index.coalesce(1).mapInArrow(sizes, "n_bytes long").collect()]
+    assert sum(read) > 40 << 19 and max(read) < 6 << 20
+    items = spark.createDataFrame([(1, rows[7][1][:50])], "item_id long, text string")
+    found = lexical_search.search(docs, items)
+    assert found.first().doc_id == 7 and found.sparkSession is spark and spark.conf.getAll == before
+
+
 def _top(rows, k=5, scale=256):
     good = {(i, tuple(math.floor(scale * c) for c in v)) for i, v in rows if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)}
     lengths = Counter(len(v) for _, v in good)
