@@ -79,10 +79,10 @@ def test_lexical_search_of_nothing(spark):
     assert _ranks(spark, [(1, None)], [(1, "a")]) == [] and _ranks(spark, [(1, "a b"), (2, "b")], [(1, None)]) == []
 
 
-def test_lexical_index_is_read_by_few_shards(spark, draw, monkeypatch):
+def test_lexical_index_is_read_by_few_shards(spark, monkeypatch):
     """One task writes all shards; a reader of them must not hold them all."""
     monkeypatch.setattr(lexical_search, "SHARD_BYTES", 1 << 18)
-    before = spark.conf.getAll
+    draw, before = np.random.default_rng(5), spark.conf.getAll
     rows = [(i, " ".join(map(str, draw.integers(0, 10**9, 4000)))) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     index = lexical_search.build(docs)
